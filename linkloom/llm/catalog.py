@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from linkloom.llm import quality
+from linkloom.llm import dedup, mixing, quality, sharding
 
 
 def queries():
-    return {"op7_quality_rules": quality.op7_quality_rules}
+    return {
+        "op3_mixing": mixing.op3_mixing,
+        "op5_exact_dedup": dedup.op5_exact_dedup,
+        "op7_quality_rules": quality.op7_quality_rules,
+        "op8_sharding": sharding.op8_sharding,
+    }
 
 
 def oracle_sql():
-    return {"op7_quality_rules": quality.OP7_SQL}
+    return {"op3_mixing": mixing.OP3_SQL, "op5_exact_dedup": dedup.OP5_SQL, "op7_quality_rules": quality.OP7_SQL}

@@ -119,19 +119,9 @@ def bitmap(keys: DataFrame, key: str, bits: int = 1 << 26) -> DataFrame:
 
 def maybe_in(df: DataFrame, key: Column, filter_: DataFrame, bits: int = 1 << 26) -> DataFrame:
     """Adds boolean ``maybe``: false only where ``key`` is certainly not in the set."""
-    at = df.withColumn("_at", F.pmod(F.xxhash64(key), F.lit(bits))).withColumn("slot", F.floor(F.col("_at") / BITMAP_BITS).cast("int"))
-    byte = F.expr(f"cast(conv(hex(substring(bitmap, cast((_at % {BITMAP_BITS}) div 8 + 1 as int), 1)), 16, 10) as int)")
-    hit = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, cast(_at % 8 as int))")) != 0, F.lit(False))
-    return at.join(F.broadcast(filter_), "slot", "left").withColumn("maybe", hit).drop("slot", "_at", "bitmap")
-
-
-# --- distributed prefix sums --------------------------------------------------------------
-
-
-def before_each(totals: DataFrame, part: str, over: list[str], values: list[str]) -> DataFrame:
-    """For each row of ``totals`` the sums of ``values`` over smaller ``part``; a row per partition and key."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*over) if over else Window.partitionBy()
-    w = w.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(part, *over, *[F.coalesce(F.sum(v).over(w), F.lit(0)).cast("long").alias(f"{v}_before") for v in values])
+    filter_ = filter_.select(F.col("slot").alias("_bm_slot"), F.col("bitmap").alias("_bm_bits"))
+    at = df.withColumn("_bm_at", F.pmod(F.xxhash64(key), F.lit(bits)))
+    at = at.withColumn("_bm_slot", F.floor(F.col("_bm_at") / BITMAP_BITS).cast("int"))
+    byte = F.expr(f"cast(conv(hex(substring(_bm_bits, cast((_bm_at % {BITMAP_BITS}) div 8 + 1 as int), 1)), 16, 10) as int)")
+    hit = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, cast(_bm_at % 8 as int))")) != 0, F.lit(False))
+    return at.join(F.broadcast(filter_), "_bm_slot", "left").withColumn("maybe", hit).drop("_bm_slot", "_bm_at", "_bm_bits")
