@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from linkloom.llm import dedup, mixing, quality, sharding
+from linkloom.llm import dedup, mixing, ngram_join, packing, quality, sharding
 
 
 def queries():
     return {
+        "op2_ngram_join": ngram_join.op2_ngram_join,
         "op3_mixing": mixing.op3_mixing,
         "op5_exact_dedup": dedup.op5_exact_dedup,
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_sharding": sharding.op8_sharding,
+        "op10_best_fit_packing": packing.op10_best_fit_packing,
     }
 
 

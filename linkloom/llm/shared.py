@@ -95,7 +95,7 @@ def let(value: Column, body) -> Column:
 
 def estimated_bytes(df: DataFrame) -> int:
     """What the optimizer takes for the size of ``df``; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 # --- a bounded set of keys, as bitmaps --------------------------------------------------
