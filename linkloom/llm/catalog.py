@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linkloom.llm import dedup, mixing, ngram_join, packing, quality, sharding
+from linkloom.llm import dedup, lm, mixing, ngram_join, packing, quality, sharding
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
         "op2_ngram_join": ngram_join.op2_ngram_join,
         "op3_mixing": mixing.op3_mixing,
         "op5_exact_dedup": dedup.op5_exact_dedup,
+        "op6_lm_scoring": lm.op6_lm_scoring,
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_sharding": sharding.op8_sharding,
         "op10_best_fit_packing": packing.op10_best_fit_packing,
