@@ -1 +1 @@
-
+"""Column functions: normalization, tokens, address parsing, string similarity."""
