@@ -11,7 +11,7 @@ Texts are equal when identical without the characters of ``[\\x20\\x09-\\x0D]``.
 the row with most code points in its original text stays, then the smallest id, then the
 first by locator. Defined results: null counts as empty; a null id comes after all others;
 repeated rows form one group of which one row stays; an empty table gives an empty one; other
-columns are ignored (``dedup_stage`` passes them on).
+columns are ignored (``dedup_stage`` passes them on, whatever their names; ``_ll_`` is reserved).
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ def digest_of(text: Column) -> Column:
 
 
 def located(docs: DataFrame, ws: Workspace) -> DataFrame:
-    """``docs`` with ``_file`` (hash of the path) and ``_at`` (row in the file); written down first if it isn't read from files."""
-    with_place = lambda df: df.select("*", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    """``docs`` with ``_ll_file`` (hash of the path) and ``_ll_at`` (row in the file); written down first if it isn't read from files."""
+    with_place = lambda df: df.select("*", F.xxhash64("_metadata.file_path").alias("_ll_file"), F.col("_metadata.row_index").alias("_ll_at"))
     try:
         return with_place(docs)
     except AnalysisException:
@@ -52,7 +52,7 @@ def located(docs: DataFrame, ws: Workspace) -> DataFrame:
 
 def best() -> Column:
     """What orders rows of a group; the greatest stays."""
-    return F.struct(F.col("length"), (-F.coalesce(F.col("doc_id"), F.lit(LAST_ID))).alias("id"), (-F.col("_file").cast("decimal(20,0)")).alias("file"), (-F.col("_at")).alias("at"))
+    return F.struct(F.col("length"), (-F.coalesce(F.col("doc_id"), F.lit(LAST_ID))).alias("id"), (-F.col("_ll_file").cast("decimal(20,0)")).alias("file"), (-F.col("_ll_at")).alias("at"))
 
 
 def run_state(staged: DataFrame, path: str, ws: Workspace, bytes_per_batch: int) -> DataFrame:
@@ -80,30 +80,30 @@ def run_state(staged: DataFrame, path: str, ws: Workspace, bytes_per_batch: int)
 
 
 def dedup(placed: DataFrame, ws: Workspace, digest=digest_of, bytes_per_batch: int = 4 << 30) -> DataFrame:
-    """A row per row of ``placed`` (from ``located``): doc_id, _file, _at, length, digest, keep, group_size."""
-    staged = placed.select("doc_id", "_file", "_at", F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("length"), digest(F.col("text")).alias("digest"))
+    """A row per row of ``placed`` (from ``located``): doc_id, _ll_file, _ll_at, length, digest, keep, group_size."""
+    staged = placed.select("doc_id", "_ll_file", "_ll_at", F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("length"), digest(F.col("text")).alias("digest"))
     staged = ws.save(staged, "staged")
     final = ws.save(run_state(staged, ws.path("staged"), ws, bytes_per_batch), "final")
     hits = final.where("group_size > 1")
     found = staged.join(final, "digest")
 
     # full bytes of the rows under each digest that was hit; a bitmap keeps other texts out of the shuffle
-    place = F.xxhash64("_file", "_at")
+    place = F.xxhash64("_ll_file", "_ll_at")
     again = ws.save(staged.join(hits.select("digest"), "digest", "left_semi").select(place.alias("place")), "hits")
-    texts = maybe_in(placed.select("text", "_file", "_at"), place, bitmap(again, "place")).where("maybe")
-    texts = texts.select("_file", "_at", digest(F.col("text")).alias("digest"), bare(F.col("text")).alias("full"))
+    texts = maybe_in(placed.select("text", "_ll_file", "_ll_at"), place, bitmap(again, "place")).where("_ll_maybe")
+    texts = texts.select("_ll_file", "_ll_at", digest(F.col("text")).alias("digest"), bare(F.col("text")).alias("full"))
     differ = texts.groupBy("digest").agg(F.min("full").alias("a"), F.max("full").alias("b")).where("a <> b").select("digest")
     differ = ws.save(differ, "differ")
     if differ.isEmpty():
         return found
-    apart = texts.join(differ, "digest", "left_semi").join(staged.select("doc_id", "_file", "_at", "length"), ["_file", "_at"])
+    apart = texts.join(differ, "digest", "left_semi").join(staged.select("doc_id", "_ll_file", "_ll_at", "length"), ["_ll_file", "_ll_at"])
     groups = apart.groupBy("digest", "full").agg(F.max(best()).alias("keep"), F.count(F.lit(1)).alias("group_size"))
     apart = apart.join(groups, ["digest", "full"]).drop("full")
     return ws.save(found.join(differ, "digest", "left_anti").unionByName(apart.select(found.columns)), "found")
 
 
 def is_kept() -> Column:
-    return (F.col("keep.file") == -F.col("_file").cast("decimal(20,0)")) & (F.col("keep.at") == -F.col("_at"))
+    return (F.col("keep.file") == -F.col("_ll_file").cast("decimal(20,0)")) & (F.col("keep.at") == -F.col("_ll_at"))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,12 +123,12 @@ def dedup_stage(docs: DataFrame) -> DataFrame:
     """
     ws = Workspace(docs.sparkSession, "dedup")
     placed = located(docs, ws)
-    rows = ws.save(dedup(placed, ws).where("group_size > 1").select(F.xxhash64("_file", "_at").alias("place"), "_file", "_at", is_kept().alias("kept")), "groups")
-    place = F.xxhash64("_file", "_at")
+    rows = ws.save(dedup(placed, ws).where("group_size > 1").select(F.xxhash64("_ll_file", "_ll_at").alias("place"), "_ll_file", "_ll_at", is_kept().alias("kept")), "groups")
+    place = F.xxhash64("_ll_file", "_ll_at")
     marked = maybe_in(placed, place, bitmap(rows, "place"))
-    dropped = rows.where("not kept").select("_file", "_at")
-    sure = marked.where("not maybe").drop("maybe")
-    rest = marked.where("maybe").drop("maybe").join(dropped, ["_file", "_at"], "left_anti")
+    dropped = rows.where("not kept").select("_ll_file", "_ll_at")
+    sure = marked.where("not _ll_maybe").drop("_ll_maybe")
+    rest = marked.where("_ll_maybe").drop("_ll_maybe").join(dropped, ["_ll_file", "_ll_at"], "left_anti")
     return sure.unionByName(rest.select(sure.columns)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

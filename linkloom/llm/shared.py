@@ -118,10 +118,10 @@ def bitmap(keys: DataFrame, key: str, bits: int = 1 << 26) -> DataFrame:
 
 
 def maybe_in(df: DataFrame, key: Column, filter_: DataFrame, bits: int = 1 << 26) -> DataFrame:
-    """Adds boolean ``maybe``: false only where ``key`` is certainly not in the set."""
+    """Adds boolean ``_ll_maybe``: false only where ``key`` is certainly not in the set."""
     filter_ = filter_.select(F.col("slot").alias("_bm_slot"), F.col("bitmap").alias("_bm_bits"))
     at = df.withColumn("_bm_at", F.pmod(F.xxhash64(key), F.lit(bits)))
     at = at.withColumn("_bm_slot", F.floor(F.col("_bm_at") / BITMAP_BITS).cast("int"))
     byte = F.expr(f"cast(conv(hex(substring(_bm_bits, cast((_bm_at % {BITMAP_BITS}) div 8 + 1 as int), 1)), 16, 10) as int)")
     hit = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, cast(_bm_at % 8 as int))")) != 0, F.lit(False))
-    return at.join(F.broadcast(filter_), "_bm_slot", "left").withColumn("maybe", hit).drop("_bm_slot", "_bm_at", "_bm_bits")
+    return at.join(F.broadcast(filter_), "_bm_slot", "left").withColumn("_ll_maybe", hit).drop("_bm_slot", "_bm_at", "_bm_bits")
