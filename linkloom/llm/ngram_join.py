@@ -152,8 +152,22 @@ def entries(s: np.ndarray, at: np.ndarray, scheme: Scheme):
             yield found, np.full(len(found), d)
 
 
-ROWS = "kind int, doc_id long, n_shingles long, node long, bucket int, sigs binary, nodes binary, counts binary"
-_ROWS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("bucket", pa.int32()), ("sigs", pa.binary()), ("nodes", pa.binary()), ("counts", pa.binary())])
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the shingles by residue, 2 to 4 bits a shingle."""
+    bits = 1 << max(6, int(2 * len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & U(bits - 1)).astype(np.int64), minlength=bits) & 1, bitorder="little")
+
+
+def fold(x: np.ndarray, size: int) -> np.ndarray:
+    """The sketch that fewer residues (8 * size bits) would have given."""
+    while x.shape[-1] > size:
+        half = x.shape[-1] // 2
+        x = x[..., :half] ^ x[..., half:]
+    return x
+
+
+ROWS = "kind int, doc_id long, n_shingles long, node long, sketch binary, bucket int, sigs binary, nodes binary, counts binary"
+_ROWS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sketch", pa.binary()), ("bucket", pa.int32()), ("sigs", pa.binary()), ("nodes", pa.binary()), ("counts", pa.binary())])
 
 
 def index_rows(k: int, scheme: Scheme, buckets: int):
@@ -169,7 +183,7 @@ def index_rows(k: int, scheme: Scheme, buckets: int):
             part = node[lo:hi]
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             runs = np.diff(np.append(first, hi - lo))
-            out.append((1, None, None, None, int(bucket[lo]), sig[lo:hi].astype("<u4").tobytes(), part[first].astype("<u8").tobytes(), runs.astype("<u4").tobytes()))
+            out.append((1, None, None, None, None, int(bucket[lo]), sig[lo:hi].astype("<u4").tobytes(), part[first].astype("<u8").tobytes(), runs.astype("<u4").tobytes()))
         return out
 
     def rows(batches):
@@ -179,7 +193,7 @@ def index_rows(k: int, scheme: Scheme, buckets: int):
             docs = []
             for a, s, at, node in sets_of(batch.column(1), k):
                 n = np.diff(at)
-                docs.append((n, node.view(np.int64)))
+                docs.append((n, node.view(np.int64), [sketch(s[x:y]).tobytes() for x, y in zip(at[:-1], at[1:], strict=True)]))
                 fresh = np.array([not (x in seen or seen.add(x)) for x in node.tolist()], bool)  # copies are one node
                 if not fresh.all():
                     s = s[np.repeat(fresh, n)]
@@ -196,9 +210,10 @@ def index_rows(k: int, scheme: Scheme, buckets: int):
             if sigs:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*packed(np.concatenate(sigs), np.concatenate(nodes))), _ROWS.types, strict=True)], schema=_ROWS)
             if docs:
-                n, node = (np.concatenate(x) for x in zip(*docs))
-                nothing = [pa.nulls(len(n), t) for t in _ROWS.types[4:]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), ids.cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(node), *nothing], schema=_ROWS)
+                n, node = (np.concatenate([x[i] for x in docs]) for i in (0, 1))
+                sketches = pa.array([y for x in docs for y in x[2]], pa.binary())
+                nothing = [pa.nulls(len(n), t) for t in _ROWS.types[5:]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), ids.cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(node), sketches, *nothing], schema=_ROWS)
 
     return rows
 
@@ -268,6 +283,31 @@ def node_bitmap(nodes: DataFrame) -> np.ndarray:
     return bits
 
 
+def near(num: int, den: int):
+    """mapInArrow over (a, b, n, m, x, y): the pairs whose sketches don't rule them out."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def rows(batches):
+        for batch in batches:
+            a, b, n, m, xs, ys = (batch.column(i) for i in range(6))
+            most = (n.to_numpy() + m.to_numpy()) * (den - num) // (den + num)
+            keep = np.zeros(len(most), bool)
+            for i in range(len(most)):
+                x, y = (np.frombuffer(c[i].as_buffer(), np.uint8) for c in (xs, ys))
+                size = min(len(x), len(y))
+                keep[i] = np.bitwise_count(fold(x, size) ^ fold(y, size)).sum() <= most[i]
+            yield pa.RecordBatch.from_arrays([a.filter(pa.array(keep)), b.filter(pa.array(keep))], schema=schema)
+
+    return rows
+
+
+def sieve(pairs: DataFrame, sets: DataFrame, num: int, den: int, ws: Workspace, name: str) -> DataFrame:
+    """Pairs (a, b) less those that sizes or sketches rule out."""
+    sides = [sets.select(F.col("node").alias(c), F.col("n_shingles").alias(n), F.col("sketch").alias(x)) for c, n, x in (("a", "n", "x"), ("b", "m", "y"))]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").where(den * F.least("n", "m") >= num * F.greatest("n", "m"))
+    return ws.save(both.select("a", "b", "n", "m", "x", "y").mapInArrow(near(num, den), "a long, b long"), name)
+
+
 def verify(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, ws: Workspace, name: str) -> DataFrame:
     """Of the pairs (a, b) of nodes those whose whole sets are similar."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -312,14 +352,50 @@ def components(edges: DataFrame, ws: Workspace, name: str) -> DataFrame:
     return label
 
 
-def across(crowd: DataFrame, label: DataFrame, ws: Workspace) -> DataFrame:
-    """Pairs of nodes of a crowded entry that aren't in one component yet."""
+#: Sets of a crowded entry that one task compares with as many others.
+BLOCK = 1024
+
+
+def compare(num: int, den: int):
+    """applyInArrow by entry and pair of blocks: pairs across components that sketches don't rule out."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def work(table: pa.Table) -> pa.Table:
+        node, comp, n, block = (table[c].to_numpy() for c in ("node", "comp", "n_shingles", "block"))
+        raw = [np.frombuffer(x, np.uint8) for x in table["sketch"].to_pylist()]
+        size = min(map(len, raw))
+        words = np.stack([fold(x, size) for x in raw]).view(U)
+        left = np.flatnonzero(block == block.min())
+        right = np.flatnonzero(block == block.max())
+        out = []
+        for i in left:
+            j = right[(comp[right] != comp[i]) & ((node[right] > node[i]) | (block[right] != block[i]))]
+            j = j[den * np.minimum(n[j], n[i]) >= num * np.maximum(n[j], n[i])]
+            if len(j):
+                differ = np.bitwise_count(words[j] ^ words[i]).sum(1, dtype=np.int64)
+                j = j[differ <= (n[j] + n[i]) * (den - num) // (den + num)]
+                out.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1))
+        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        return pa.table([pairs[:, 0], pairs[:, 1]], schema=schema)
+
+    return work
+
+
+def across(crowd: DataFrame, label: DataFrame, sets: DataFrame, num: int, den: int, ws: Workspace) -> DataFrame:
+    """Pairs of nodes of a crowded entry that aren't in one component yet and that sketches don't rule out.
+
+    An entry with more than BLOCK nodes is cut in blocks of about that size, and a task gets two
+    of them, so no task holds a whole large entry.
+    """
     crowd = crowd.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_ = crowd.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("entry")
-    crowd = ws.save(crowd.join(open_, "entry", "left_semi"), "open")
-    a = crowd.select("entry", F.col("node").alias("a"), F.col("comp").alias("ca"))
-    b = crowd.select("entry", F.col("node").alias("b"), F.col("comp").alias("cb"))
-    return a.join(b, "entry").where("a < b and ca <> cb").select("a", "b").distinct()
+    open_ = crowd.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo <> hi")
+    open_ = open_.select("entry", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
+    crowd = crowd.join(open_, "entry").join(sets.select("node", "n_shingles", "sketch"), "node")
+    crowd = crowd.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    crowd = crowd.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    crowd = crowd.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+    found = crowd.select("entry", "lo", "hi", "node", "comp", "n_shingles", "block", "sketch").groupBy("entry", "lo", "hi").applyInArrow(compare(num, den), "a long, b long")
+    return found.distinct()
 
 
 def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, doubled=None, ws: Workspace | None = None) -> DataFrame:
@@ -335,11 +411,14 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     sets = rows.where("kind = 0").select("doc_id", "n_shingles", "node")
     found = rows.where("kind = 1").select("bucket", "sigs", "nodes", "counts").groupBy("bucket").applyInArrow(meet, FOUND)
     found = ws.save(found, "found")
-    pairs = ws.save(found.where("kind = 0").select("a", "b").distinct(), "pairs")
-    edges = verify(docs, pairs, k, num, den, ws, "edges")
-    label = components(edges, ws, "first")
+    met = ws.save(found.where("kind = 0").select("a", "b").distinct(), "met")
     crowd = found.where("kind = 1").select(F.col("a").alias("entry"), F.col("b").alias("node"))
-    rest = ws.save(across(crowd, label, ws).join(pairs, ["a", "b"], "left_anti"), "rest")
+    involved = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()  # a crowded entry's nodes met its centre
+    sketches = rows.where("kind = 0").select("node", "n_shingles", "sketch").join(involved, "node", "left_semi")
+    sketches = ws.save(sketches.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "sketches")
+    edges = verify(docs, sieve(met, sketches, num, den, ws, "pairs"), k, num, den, ws, "edges")
+    label = components(edges, ws, "first")
+    rest = ws.save(across(crowd, label, sketches, num, den, ws).join(met, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = verify(docs, rest, k, num, den, ws, "more")
         label = components(edges.unionByName(more), ws, "second")
@@ -387,10 +466,15 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(docs: DataFrame) -> DataFrame:
-    """One row of each component (its smallest id), with the columns of ``docs``; texts without words all stay."""
+    """The rows of each component's smallest id, with the columns of ``docs``.
+
+    Texts without words all stay, rows without an id too; an id that repeats goes if all of its
+    rows belong to components of smaller ids.
+    """
     ws = Workspace(docs.sparkSession, "ngram")
     found = jaccard_components(docs, ws=ws)
-    drop = ws.save(found.where("component_id <> doc_id").select("doc_id").distinct(), "drop")
+    other = found.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.col("component_id") != F.col("doc_id")).alias("other"))
+    drop = ws.save(other.where("other").select("doc_id"), "drop")
     marked = maybe_in(docs, F.coalesce(F.col("doc_id"), F.lit(-1)), bitmap(drop, "doc_id"))
-    sure, rest = marked.where("not maybe").drop("maybe"), marked.where("maybe").drop("maybe").join(drop, "doc_id", "left_anti")
+    sure, rest = marked.where("not _ll_maybe").drop("_ll_maybe"), marked.where("_ll_maybe").drop("_ll_maybe").join(drop, "doc_id", "left_anti")
     return sure.unionByName(rest.select(sure.columns)).select(*[F.col(f"`{c}`") for c in docs.columns])
