@@ -181,9 +181,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(docs: DataFrame) -> DataFrame:
-    """The documents that no rule rejects, with the columns of ``docs``."""
+    """The documents that no rule rejects, with the columns of ``docs``.
+
+    The row number in the filter does nothing but keep it above the cascade: pushed below, it
+    would expand all projections into one expression that splits each text again and again.
+    """
     order = [m.rule for m in plan_cascade(docs)]
-    return apply_cascade(docs, order, out_col="_rejected_by").where("_rejected_by is null").drop("_rejected_by")
+    judged = apply_cascade(docs, order, out_col="_ll_rejected_by").withColumn("_ll_stay", F.monotonically_increasing_id())
+    return judged.where("_ll_rejected_by is null and _ll_stay >= 0").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
