@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linkloom.functions.similarity import KERNELS, kernels, text_features
 from linkloom.functions.text import first_number, numbers, units
 from linkloom.operators.blocking import SCORES, normalized, pool_of
+from linkloom.runtime import make_importable
 
 TEXT = [*KERNELS, "levenshtein", "len_diff", "norm_len_diff", "token_count_diff", "exact_match"]
 BLOCKING = [*SCORES.values(), "total_block_score", "candidate_rank"]
@@ -63,6 +64,7 @@ def relative_features(df: DataFrame, group: str = "source1_entity_id") -> DataFr
 
 def with_records(pairs: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
     """Both records of each pair as structs ``a`` and ``b``; pairs without one fall out. Ids that repeat give their first row."""
+    make_importable(pairs.sparkSession)
     pool = pool if "src_priority" in pool.columns else pool.withColumn("src_priority", F.lit(0))
     record = ["business_name", "business_address", "country", "name_norm", "addr_norm"]
     a = first_by_id(normalized(s1), ["business_name", "business_address"]).select(F.col("entity_id").alias("source1_entity_id"), F.struct(*record).alias("a"))
