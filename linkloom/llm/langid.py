@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from linkloom.runtime import make_importable
+
 WINDOW = 64
 #: Windows that step together; bounds the memory of a step.
 TOGETHER = 4096
@@ -193,6 +195,7 @@ def sample_labelled(docs: DataFrame, per_label: int, max_labels: int, chars: int
 
 def identify(docs: DataFrame, held_out, per_label: int = 400, max_labels: int = 64, **training) -> DataFrame:
     """doc_id, held_out, lang_pred, score of ``docs`` (doc_id, text, lang); learns from rows that aren't held out."""
+    make_importable(docs.sparkSession)
     docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     known = docs.where("not held_out and lang is not null and text is not null")
     rows = sample_labelled(known, per_label, max_labels, WINDOW * 8).orderBy("lang", "text").collect()

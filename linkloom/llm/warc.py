@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.runtime import make_importable
+
 CRLF = "\r\n"
 RECORD = "key long, record_id string, type string, target_uri string, date string, content_type string, refers_to string, payload_digest string, block_digest string, content_length long, headers string, block binary"
 _RECORD = pa.schema([("key", pa.int64()), *[(c, pa.string()) for c in ("record_id", "type", "target_uri", "date", "content_type", "refers_to", "payload_digest", "block_digest")], ("content_length", pa.int64()), ("headers", pa.string()), ("block", pa.binary())])
@@ -129,6 +131,7 @@ def derive(records: DataFrame) -> DataFrame:
                     out, weight = [], 0
             yield pa.RecordBatch.from_pylist(out, schema=_RECORD)
 
+    make_importable(records.sparkSession)
     return records.select("key", "record_id", "type", "target_uri", "date", "payload_digest", "block_digest", "block").mapInArrow(rows, RECORD)
 
 
