@@ -354,6 +354,8 @@ def components(edges: DataFrame, ws: Workspace, name: str) -> DataFrame:
 
 #: Sets of a crowded entry that one task compares with as many others.
 BLOCK = 1024
+#: Least crowded entries of a set that its rows name, to tell a pair from its repetitions.
+NAMED = 32
 
 
 def compare(num: int, den: int):
@@ -363,6 +365,7 @@ def compare(num: int, den: int):
     def work(table: pa.Table) -> pa.Table:
         node, comp, n, block = (table[c].to_numpy() for c in ("node", "comp", "n_shingles", "block"))
         raw = [np.frombuffer(x, np.uint8) for x in table["sketch"].to_pylist()]
+        entry, named = table["entry"][0].as_py(), [*map(frozenset, table["named"].to_pylist())]
         size = min(map(len, raw))
         words = np.stack([fold(x, size) for x in raw]).view(U)
         left = np.flatnonzero(block == block.min())
@@ -374,6 +377,8 @@ def compare(num: int, den: int):
             if len(j):
                 differ = np.bitwise_count(words[j] ^ words[i]).sum(1, dtype=np.int64)
                 j = j[differ <= (n[j] + n[i]) * (den - num) // (den + num)]
+                # a pair that meets in a lesser entry is told there
+                j = j[np.array([min(named[i] & named[x], default=entry) >= entry for x in j], bool)]
                 out.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
         return pa.table([pairs[:, 0], pairs[:, 1]], schema=schema)
@@ -390,11 +395,13 @@ def across(crowd: DataFrame, label: DataFrame, sets: DataFrame, num: int, den: i
     crowd = crowd.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     open_ = crowd.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo <> hi")
     open_ = open_.select("entry", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
-    crowd = crowd.join(open_, "entry").join(sets.select("node", "n_shingles", "sketch"), "node")
+    crowd = crowd.join(open_, "entry")
+    named = crowd.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("entry")), 1, NAMED).alias("named"))
+    crowd = crowd.join(named, "node").join(sets.select("node", "n_shingles", "sketch"), "node")
     crowd = crowd.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     crowd = crowd.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     crowd = crowd.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    found = crowd.select("entry", "lo", "hi", "node", "comp", "n_shingles", "block", "sketch").groupBy("entry", "lo", "hi").applyInArrow(compare(num, den), "a long, b long")
+    found = crowd.select("entry", "lo", "hi", "node", "comp", "n_shingles", "block", "sketch", "named").groupBy("entry", "lo", "hi").applyInArrow(compare(num, den), "a long, b long")
     return found.distinct()
 
 
