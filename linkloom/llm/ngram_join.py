@@ -25,6 +25,7 @@ text; an empty table gives an empty one; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -334,12 +335,20 @@ class _Late:
 
 
 def components(edges: DataFrame, ws: Workspace, name: str) -> DataFrame:
-    """(node, comp): comp is the least node that edges (a, b) reach. Least neighbour, then pointer jump, until nothing moves."""
+    """(node, comp): comp is the least node that edges (a, b) reach.
+
+    A round gives each node, and the node that was its label, the least label among its
+    neighbours, then jumps a pointer. Rounds end when nothing moves, however many that takes:
+    every round but the last lowers a label, and hooking labels keeps them about logarithmic in
+    the longest chain.
+    """
     both = ws.save(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}_both")
     label = ws.save(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("comp")).withColumnRenamed("a", "node"), f"{name}_0")
-    for step in range(1, 64):
+    for step in itertools.count(1):
         near = both.join(label.select(F.col("node").alias("b"), F.col("comp").alias("other")), "b").groupBy("a").agg(F.min("other").alias("other"))
         low = label.join(near.withColumnRenamed("a", "node"), "node").select("node", "comp", F.least("comp", "other").alias("low"))
+        hook = low.where("low < comp").select(F.col("comp").alias("node"), F.lit(None).cast("long").alias("comp"), "low")
+        low = low.unionByName(hook).groupBy("node").agg(F.max("comp").alias("comp"), F.min("low").alias("low"))
         jump = label.select(F.col("node").alias("low"), F.col("comp").alias("far"))
         moved = low.join(jump, "low", "left").select("node", F.col("comp").alias("was"), F.least("low", F.coalesce("far", "low")).alias("comp"))
         moved = ws.save(moved, f"{name}_{step}")
