@@ -2,18 +2,19 @@
 
 Training texts are counted as words and word pairs, over all of them. An n-gram seen c times
 enters the filter with the levels 1 ... 1 + floor(log_b c); a reader probes level by level until
-one is missing and takes the middle of the last level's range as the count. The filter has a
-fixed number of bits, in one block per bucket of n-gram hashes, which is what makes it safe to
-broadcast: with more n-grams it errs more often, at 32 MB as at any size. Pairs seen once are
-left to the unigrams at every size.
+one is missing and takes the middle of the last level's range as the count. The filter has one
+block per bucket of n-gram hashes, of so many bits a level that was counted there: it grows with
+the n-grams and errs no more often at any size. Its blocks never meet in one place. Texts are
+taken in groups of about a million tokens; a group sends each bucket its distinct words and
+pairs once, with their counts in training texts; the bucket sums them, fills its block, answers
+from it, and the answers meet the group's tokens again.
 
 P(w | u) = (1 - pull) * (c(w) + 0.5) / (N + 0.5 * (V + 1)) + pull * min(1, c(u w) / c(u))
 
 with counts from the filter; the score of a text adds log10 P over its words and one end.
 
-The base score needs exact counts. The most frequent words (65,536 at most) are broadcast with
-theirs; other words travel, once per document and packed by bucket, to where the bucket's exact
-counts lie, and sums by document come back. So no bucket holds a row per use of a common word.
+The base score needs exact counts, which lie beside the bucket's block and come with its answer.
+So no bucket holds a row per use of a common word, and the driver gathers two totals only.
 
 Defined results: a null text is empty and scores its end token; a null id belongs to training;
 rows are scored one by one; without training texts N = V = 0; an empty table gives an empty one;
@@ -35,25 +36,33 @@ from linkloom.llm.tokens import U, mix, word_slices
 
 END = U(0x5851F42D4C957F2D)
 LEVEL, PROBE = U(0x9FB21C651E98DF25), U(0xD1342543DE82EF95)
-FLUSH = 1 << 21
+#: Tokens of a group of texts that asks together, and n-grams that a bucket looks up together.
+GROUP, TOGETHER = 1 << 20, 1 << 19
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Bits of the filter, buckets (blocks), probes a level, base of the levels, least count of pairs, weight of pairs, words broadcast."""
+    """Buckets (blocks), bits of the filter (None: by what is counted), probes a level, base of the levels, least count of pairs, weight of pairs, bits a level.
+
+    With 16 bits and 3 probes a level that isn't there passes 0.5 % of the time.
+    """
 
     buckets: int
-    bits: int
+    bits: int | None = None
     probes: int = 3
     base: float = 1.5
-    least_pair: int = 2
+    least_pair: int = 1
     pull: float = 0.1
-    hot: int = 1 << 16
+    level_bits: int = 16
 
     @property
     def block(self) -> int:
         return self.bits // self.buckets // 8 * 8
 
+    def block_for(self, levels: int) -> int:
+        """Bits of a block that holds so many levels."""
+        return self.block if self.bits else max(64, -(-self.level_bits * levels // 8) * 8)
+
 
 def with_ends(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words with the end token after each document; where each document begins and ends."""
@@ -74,12 +83,12 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return (((h >> U(32)) * U(buckets)) >> U(32)).astype(np.int32)
 
 
-def positions(bucket: np.ndarray, low: np.ndarray, level: int, shape: Shape) -> np.ndarray:
-    """Bit positions (n x probes) in the whole filter."""
+def positions(bucket, low: np.ndarray, level: int, shape: Shape, block: int) -> np.ndarray:
+    """Bit positions (n x probes) in the bucket's block."""
     with np.errstate(over="ignore"):
-        key = mix(((bucket.astype(U) << U(32)) | low.astype(U)) * LEVEL + U(level))
+        key = mix(((np.asarray(bucket).astype(U) << U(32)) | low.astype(U)) * LEVEL + U(level))
         steps = np.arange(shape.probes, dtype=U) * (mix(key) | U(1))[:, None]
-        return bucket.astype(np.int64)[:, None] * shape.block + ((key[:, None] + steps) % U(shape.block)).astype(np.int64)
+        return ((key[:, None] + steps) % U(block)).astype(np.int64)
 
 
 def level_of(count: np.ndarray, base: float) -> np.ndarray:
@@ -92,17 +101,23 @@ def value_of(level: np.ndarray, base: float) -> np.ndarray:
     return np.where(level > 0, (lo + np.maximum(lo, hi)) / 2, 0.0)
 
 
-def look_up(h: np.ndarray, bits: np.ndarray, shape: Shape) -> np.ndarray:
-    """Counts by probing level after level."""
-    bucket, low = bucket_of(h, shape.buckets), h & U(0xFFFFFFFF)
-    level, left = np.zeros(len(h), np.int64), np.arange(len(h))
+def levels_in(bucket, low: np.ndarray, bits: np.ndarray, shape: Shape, block: int, start=0) -> np.ndarray:
+    """Levels by probing one after the other; ``start``: the first bit of the n-grams' blocks."""
+    level, left = np.zeros(len(low), np.uint8), np.arange(len(low))
+    bucket, start = np.broadcast_to(bucket, len(low)), np.broadcast_to(start, len(low))
     for q in range(1, 256):
-        at = positions(bucket[left], low[left], q, shape)
+        at = positions(bucket[left], low[left], q, shape, block) + start[left][:, None]
         left = left[((bits[at >> 3] >> (at & 7)) & 1).all(axis=1)]
         if not len(left):
             break
         level[left] = q
-    return value_of(level, shape.base)
+    return level
+
+
+def look_up(h: np.ndarray, bits: np.ndarray, shape: Shape) -> np.ndarray:
+    """Counts from a filter of equal blocks."""
+    bucket = bucket_of(h, shape.buckets)
+    return value_of(levels_in(bucket, h & U(0xFFFFFFFF), bits, shape, shape.block, bucket.astype(np.int64) * shape.block), shape.base)
 
 
 def split(bucket: np.ndarray) -> list[tuple[int, int, int]]:
@@ -111,35 +126,63 @@ def split(bucket: np.ndarray) -> list[tuple[int, int, int]]:
     return [(int(bucket[a]), a, b) for a, b in zip([0, *cuts], [*cuts, len(bucket)], strict=True)] if len(bucket) else []
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Byte planes under zstd, after their size."""
+    if not len(x):
+        return b""
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes, dtype) -> np.ndarray:
+    if not data:
+        return np.zeros(0, dtype)
+    raw = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.frombuffer(raw, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T.copy().view(dtype).ravel()
+
+
+def groups(batches):
+    """Of batches (doc_id, text, held_out): (group, tokens, where each text's begin and end, ids, held out or not)."""
+    part, number = TaskContext.get().partitionId(), 0
+    parts, tokens = [], 0
+
+    def joined():
+        h, n, ids, held = zip(*parts, strict=True)
+        return (part << 24) + number, np.concatenate(h), np.concatenate([[0], np.cumsum(np.concatenate(n))]), pa.concat_arrays(ids), pa.concat_arrays(held)
+
+    for batch in batches:
+        ids, held = batch.column(0).cast(pa.int64()), batch.column(2)
+        for a, b, h, at in word_slices(batch.column(1)):
+            h, at = with_ends(h, at)
+            parts.append((h, np.diff(at), ids.slice(a, b - a), held.slice(a, b - a)))
+            tokens += len(h)
+            if tokens > GROUP:
+                yield joined()
+                parts, tokens, number = [], 0, number + 1
+    if parts:
+        yield joined()
+
+
 COUNTS = "bucket int, words binary, word_counts binary, pairs binary, pair_counts binary"
 _COUNTS = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("words", "word_counts", "pairs", "pair_counts")]])
+ASKED = f"{COUNTS}, batch long"
+_ASKED = _COUNTS.append(pa.field("batch", pa.int64()))
 
 
-def count_rows(shape: Shape):
-    """mapInArrow over training texts: distinct words and pairs with their counts, packed by bucket."""
-
-    def flush(words: list, pairs: list):
-        (w, nw), (p, np_) = (np.unique(np.concatenate(x), return_counts=True) for x in (words, pairs))
-        of = {b: [w[i:j].astype("<u8").tobytes(), nw[i:j].astype("<u4").tobytes(), b"", b""] for b, i, j in split(bucket_of(w, shape.buckets))}
-        for b, i, j in split(bucket_of(p, shape.buckets)):
-            # most pairs come once: those that come more often go last, with counts
-            once = np_[i:j] == 1
-            low = (p[i:j] & U(0xFFFFFFFF)).astype("<u4")
-            of.setdefault(b, [b"", b"", b"", b""])[2:] = [np.concatenate([low[once], low[~once]]).tobytes(), np_[i:j][~once].astype("<u4").tobytes()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*[(b, *x) for b, x in of.items()]), _COUNTS.types, strict=True)], schema=_COUNTS)
+def ask_rows(shape: Shape):
+    """mapInArrow: by group and bucket the distinct words and pairs, with their counts in training texts (0: asked only)."""
 
     def rows(batches):
-        words, pairs = [], []
-        for batch in batches:
-            for _, _, h, at in word_slices(batch.column(0)):
-                h, at = with_ends(h, at)
-                words.append(h)
-                pairs.append(pairs_of(h, at))
-                if sum(map(len, words)) > FLUSH:
-                    yield flush(words, pairs)
-                    words, pairs = [], []
-        if words:
-            yield flush(words, pairs)
+        for batch, h, at, _, held in groups(batches):
+            train = np.repeat(~np.array(held.to_pylist(), bool), np.diff(at))
+            of = {}
+            for place, x in enumerate((h, pairs_of(h, at))):
+                kind, back = np.unique(x, return_inverse=True)
+                n = np.bincount(back[train], minlength=len(kind)).astype("<u4")
+                for b, i, j in split(bucket_of(kind, shape.buckets)):
+                    k = kind[i:j].astype("<u8")
+                    of.setdefault(b, [b"", b"", b"", b""])[2 * place : 2 * place + 2] = [(k & U(0xFFFFFFFF)).astype("<u4").tobytes(), pack(n[i:j])] if place else [k.tobytes(), n[i:j].tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*[(b, *x, batch) for b, x in of.items()]), _ASKED.types, strict=True)], schema=_ASKED)
 
     return rows
 
@@ -162,16 +205,16 @@ def block_of(shape: Shape):
         b = table["bucket"][0].as_py()
         read = lambda c, t: [np.frombuffer(x, t) for x in table[c].to_pylist()]
         words, counts = total(np.concatenate(read("words", "<u8")), np.concatenate(read("word_counts", "<u4")).astype(np.int64))
-        often = read("pair_counts", "<u4")
-        pairs = read("pairs", "<u4")
-        n = np.concatenate([np.concatenate([np.ones(len(p) - len(c), np.int64), c.astype(np.int64)]) for p, c in zip(pairs, often, strict=True)])
-        pairs, n = total(np.concatenate(pairs), n)
+        words, counts = words[counts > 0], counts[counts > 0]
+        pairs, n = total(np.concatenate(read("pairs", "<u4")), np.concatenate([unpack(x, "<u4") for x in table["pair_counts"].to_pylist()]).astype(np.int64))
         keep = n >= shape.least_pair
         low, n = np.concatenate([(words & U(0xFFFFFFFF)).astype("<u4"), pairs[keep]]), np.concatenate([counts, n[keep]])
-        bits, level = np.zeros(shape.block // 8, np.uint8), level_of(n, shape.base) if len(n) else n
+        level = level_of(n, shape.base) if len(n) else n
+        block = shape.block_for(int(level.sum()))
+        bits = np.zeros(block // 8, np.uint8)
         q = 1
         while len(low):
-            at = (positions(np.zeros(len(low), np.int32) + b, low, q, shape) - b * shape.block).ravel()
+            at = positions(b, low, q, shape, block).ravel()
             np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
             q += 1
             low, level = low[level >= q], level[level >= q]
@@ -180,137 +223,103 @@ def block_of(shape: Shape):
     return work
 
 
-HOT = "word long, count long"
+ANSWERS = "batch long, bucket int, counts binary, levels binary, pair_levels binary, train_tokens long, train_kinds long"
+_ANSWERS = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("counts", "levels", "pair_levels")], ("train_tokens", pa.int64()), ("train_kinds", pa.int64())])
 
 
-def hot_of(table_iter):
-    """mapInArrow: (word, count) of every word that has one in 10**6 of its bucket's tokens; the driver's sort takes the first."""
-    schema = pa.schema([("word", pa.int64()), ("count", pa.int64())])
-    for batch in table_iter:
-        for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            w, c = np.frombuffer(w, "<i8"), np.frombuffer(c, "<i8")
-            top = c >= max(2, c.sum() * 1e-6) if len(c) else np.zeros(0, bool)
-            yield pa.RecordBatch.from_arrays([pa.array(w[top]), pa.array(c[top])], schema=schema)
+def answer(shape: Shape):
+    """applyInArrow by bucket: exact counts and levels of what groups ask; a row without a batch has the bucket's totals."""
+    build = block_of(shape)
 
+    def work(table: pa.Table) -> pa.Table:
+        b = table["bucket"][0].as_py()
+        [own] = build(table).to_pylist()
+        words, counts, bits = np.frombuffer(own["words"], "<u8"), np.frombuffer(own["counts"], "<i8"), np.frombuffer(own["block"], np.uint8)
+        out, some, held = [(None, b, None, None, None, own["tokens"], own["kinds"])], [], 0
+
+        def tell() -> None:
+            w, p = [np.frombuffer(r["words"], "<u8") for r in some], [np.frombuffer(r["pairs"], "<u4") for r in some]
+            cuts, pair_cuts = (np.cumsum([len(x) for x in y])[:-1] for y in (w, p))
+            w, p = np.concatenate(w), np.concatenate(p)
+            place = np.minimum(np.searchsorted(words, w), max(len(words) - 1, 0))
+            c = np.where(words[place] == w, counts[place], 0) if len(words) else np.zeros(len(w), np.int64)
+            level = levels_in(b, w & U(0xFFFFFFFF), bits, shape, len(bits) * 8)
+            pair_level = levels_in(b, p, bits, shape, len(bits) * 8)
+            for r, x, y, z in zip(some, np.split(c, cuts), np.split(level, cuts), np.split(pair_level, pair_cuts), strict=True):
+                out.append((r["batch"], b, pack(x), pack(y), pack(z), None, None))
+
+        for r in table.select(["batch", "words", "pairs"]).to_pylist():
+            some.append(r)
+            held += len(r["words"]) // 8 + len(r["pairs"]) // 4
+            if held > TOGETHER:
+                tell()
+                some, held = [], 0
+        if some:
+            tell()
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), _ANSWERS.types, strict=True)], schema=_ANSWERS)
 
-SCORED = "kind int, doc_id long, held_out boolean, n_tokens long, batch long, row int, known long, logs double, score double, bucket int, words binary, rows binary, times binary"
-_SCORED = pa.schema([
-    ("kind", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("batch", pa.int64()), ("row", pa.int32()), ("known", pa.int64()),
-    ("logs", pa.float64()), ("score", pa.float64()), ("bucket", pa.int32()), ("words", pa.binary()), ("rows", pa.binary()), ("times", pa.binary()),
-])
+    return work
 
 
-def score_rows(shape: Shape, held, tokens: int, kinds: int):
-    """mapInArrow over (doc_id, text, held_out): a row per document (kind 0), and its words that aren't hot, packed by bucket (kind 1)."""
+TEXTS = "batch long, bucket int, words binary, tokens binary, ends binary, ids array<long>, held array<boolean>"
+_TEXTS = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("words", "tokens", "ends")], ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_()))])
 
-    def summed(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(x, at[:-1])  # every document has its end token
 
-    def rows(batches):
-        filter_, hot, hot_counts = held.value
-        part, number = TaskContext.get().partitionId(), 0
+def text_rows(batches):
+    """mapInArrow: a row per group of texts, the same groups as in ``ask_rows``."""
+    for batch, h, at, ids, held in groups(batches):
+        kind, back = np.unique(h, return_inverse=True)
+        row = (batch, None, kind.astype("<u8").tobytes(), pack(back.astype("<u4")), pack(at.astype("<i8")), ids.to_pylist(), held.to_pylist())
+        yield pa.RecordBatch.from_pylist([dict(zip(_TEXTS.names, row, strict=True))], schema=_TEXTS)
+
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+_SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), *[(c, pa.int64()) for c in ("n_tokens", "n_known", "train_tokens")], ("base_score", pa.float64()), ("score", pa.float64())])
+
+
+def score_groups(shape: Shape, tokens: int, kinds: int):
+    """applyInArrow by batch: scores of a group's texts from its tokens and the buckets' answers."""
+
+    def work(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        [texts] = [r for r in rows if r["bucket"] is None]
+        told = sorted((r for r in rows if r["bucket"] is not None), key=lambda r: r["bucket"])  # the order of the hashes
+        count, level, pair_level = (np.concatenate([unpack(r[c], t) for r in told]) for c, t in (("counts", "<i8"), ("levels", np.uint8), ("pair_levels", np.uint8)))
+        kind, at = np.frombuffer(texts["words"], "<u8"), unpack(texts["ends"], "<i8")
+        back = unpack(texts["tokens"], "<u4")
+        pair, pair_back = np.unique(pairs_of(kind[back], at), return_inverse=True)
+        if len(count) != len(kind) or len(pair_level) != len(pair):
+            raise RuntimeError("the input was read in other groups than before")
+        summed = lambda x: np.add.reduceat(x, at[:-1])  # noqa: E731 - every text has its end token
         norm = tokens + 0.5 * (kinds + 1)
-        for batch in batches:
-            for a, b, h, at in word_slices(batch.column(1)):
-                h, at = with_ends(h, at)
-                n = np.diff(at)
-                of = np.repeat(np.arange(len(n)), n)
-                kind, back = np.unique(h, return_inverse=True)
-                c = look_up(kind, filter_, shape)
-                pair, pair_back = np.unique(pairs_of(h, at), return_inverse=True)
-                both, here = look_up(pair, filter_, shape)[pair_back], c[back]
-                before = np.empty_like(here)
-                before[1:] = here[:-1]
-                before[at[:-1]] = c[np.searchsorted(kind, END)]
-                follows = np.minimum(1.0, np.divide(both, before, out=np.zeros_like(both), where=before > 0))
-                score = summed(np.log10((1 - shape.pull) * (here + 0.5) / norm + shape.pull * follows), at)
-                # base: hot words here, the others where their counts lie
-                place = np.minimum(np.searchsorted(hot, kind), max(len(hot) - 1, 0))
-                is_hot = hot[place] == kind if len(hot) else np.zeros(len(kind), bool)
-                logs = np.where(is_hot, np.log10(hot_counts[place] + 0.5) if len(hot) else 0.0, 0.0)
-                mine = is_hot[back]
-                batch_id = (part << 24) + number
-                number += 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.zeros(len(n), np.int32)), batch.column(0).slice(a, b - a).cast(pa.int64()), batch.column(2).slice(a, b - a), pa.array(n.astype(np.int64)),
-                        pa.array(np.full(len(n), batch_id)), pa.array(np.arange(len(n), dtype=np.int32)), pa.array(summed(mine.astype(np.int64), at)), pa.array(summed(logs[back], at)),
-                        pa.array(score), *[pa.nulls(len(n), t) for t in _SCORED.types[9:]],
-                    ], schema=_SCORED,
-                )
-                rare, times = np.unique((back[~mine].astype(np.int64) << 32) | of[~mine], return_counts=True)
-                if len(rare):
-                    word, row = kind[rare >> 32], (rare & 0xFFFFFFFF).astype("<u4")  # sorted by word, so by bucket
-                    parts = [(1, batch_id, i, word[x:y].astype("<u8").tobytes(), row[x:y].tobytes(), times[x:y].astype("<u4").tobytes()) for i, x, y in split(bucket_of(word, shape.buckets))]
-                    k, bid, i, w, r, t = zip(*parts, strict=True)
-                    no = lambda j: pa.nulls(len(parts), _SCORED.types[j])  # noqa: B023, E731
-                    yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), no(1), no(2), no(3), pa.array(bid, pa.int64()), *[no(j) for j in range(5, 9)], pa.array(i, pa.int32()), pa.array(w), pa.array(r), pa.array(t)], schema=_SCORED)
+        c = value_of(level.astype(np.int64), shape.base)
+        both, here = value_of(pair_level.astype(np.int64), shape.base)[pair_back], c[back]
+        before = np.empty_like(here)
+        before[1:] = here[:-1]
+        before[at[:-1]] = c[np.searchsorted(kind, END)]
+        follows = np.minimum(1.0, np.divide(both, before, out=np.zeros_like(both), where=before > 0))
+        score = summed(np.log10((1 - shape.pull) * (here + 0.5) / norm + shape.pull * follows))
+        base = summed(np.log10((count + 0.5) / norm)[back])
+        n = np.diff(at)
+        columns = (texts["ids"], texts["held"], n, summed((count > 0).astype(np.int64)[back]), np.full(len(n), tokens), base, score)
+        return pa.table([pa.array(x, t) for x, t in zip(columns, _SCORED.types, strict=True)], schema=_SCORED)
 
-    return rows
+    return work
 
 
-BACK = "batch long, row int, known long, logs double"
-_BACK = pa.schema([("batch", pa.int64()), ("row", pa.int32()), ("known", pa.int64()), ("logs", pa.float64())])
-JOINED = "bucket int, batch long, words binary, rows binary, times binary"
-
-
-def rare_logs(table: pa.Table) -> pa.Table:
-    """applyInArrow by bucket: known words and sums of log10(c + 0.5) by document; the row without a batch has the counts."""
-    words, counts = np.zeros(0, U), np.zeros(0, np.int64)
-    out = []
-    rows = table.to_pylist()
-    for r in rows:
-        if r["batch"] is None:
-            words, counts = np.frombuffer(r["words"], "<u8"), np.frombuffer(r["rows"], "<i8")
-    for r in rows:
-        if r["batch"] is not None:
-            w, row, times = np.frombuffer(r["words"], "<u8"), np.frombuffer(r["rows"], "<u4"), np.frombuffer(r["times"], "<u4")
-            at = np.minimum(np.searchsorted(words, w), max(len(words) - 1, 0))
-            c = np.where(words[at] == w, counts[at], 0) if len(words) else np.zeros(len(w), np.int64)
-            n = int(row.max()) + 1
-            logs = np.bincount(row, times * np.log10(c + 0.5), n)
-            known = np.bincount(row, times * (c > 0), n).astype(np.int64)
-            has = np.flatnonzero(np.bincount(row, minlength=n))
-            out.append((np.full(len(has), r["batch"]), has.astype(np.int32), known[has], logs[has]))
-    if not out:
-        return _BACK.empty_table()
-    return pa.table([np.concatenate(x) for x in zip(*out, strict=True)], schema=_BACK)
-
-
-def score_texts(docs: DataFrame, held_out, max_bits: int = 1 << 28) -> DataFrame:
+def score_texts(docs: DataFrame, held_out) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     ws = Workspace(spark, "lm")
-    size = estimated_bytes(docs)
-    buckets = int(min(max(size // (8 << 20), 12), 1 << 14))
-    bits = 1 << 20
-    while bits < min(max_bits, 8 * size):
-        bits *= 2
-    shape = Shape(buckets, bits)
+    shape = Shape(int(min(max(estimated_bytes(docs) // (8 << 20), 12), 1 << 14)))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
 
-    counted = docs.where("not held_out").select("text").mapInArrow(count_rows(shape), COUNTS)
-    blocks = ws.save(counted.groupBy("bucket").applyInArrow(block_of(shape), BLOCKS), "blocks")
-    tokens, kinds = (x or 0 for x in blocks.agg(F.sum("tokens"), F.sum("kinds")).first())
-    filter_ = np.zeros(shape.block // 8 * buckets, np.uint8)
-    for r in blocks.select("bucket", "block").toLocalIterator():  # max_bits in all
-        filter_[r["bucket"] * (shape.block // 8) : (r["bucket"] + 1) * (shape.block // 8)] = np.frombuffer(r["block"], np.uint8)
-    hot = blocks.select("words", "counts").mapInArrow(hot_of, HOT).orderBy(F.desc("count"), "word").limit(shape.hot).toPandas()
-    word = hot["word"].to_numpy(np.int64).view(U)
-    order = np.argsort(word)
-    held = spark.sparkContext.broadcast((filter_, word[order], hot["count"].to_numpy(np.int64)[order]))
-
-    docs.mapInArrow(score_rows(shape, held, tokens, kinds), SCORED).write.partitionBy("kind").parquet(ws.path("scored"))
-    scored = spark.read.schema(SCORED).parquet(ws.path("scored"))
-    exact = blocks.select("bucket", F.lit(None).cast("long").alias("batch"), "words", F.col("counts").alias("rows"), F.lit(None).cast("binary").alias("times"))
-    rare = scored.where("kind = 1").select("bucket", "batch", "words", "rows", "times").unionByName(exact)
-    back = rare.groupBy("bucket").applyInArrow(rare_logs, BACK).groupBy("batch", "row").agg(F.sum("known").alias("k"), F.sum("logs").alias("l"))
-    texts = scored.where("kind = 0").join(back, ["batch", "row"], "left")
-    norm = float(np.log10(tokens + 0.5 * (kinds + 1)))
-    return texts.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("k", F.lit(0))).cast("long").alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("l", F.lit(0.0)) - F.col("n_tokens") * norm).alias("base_score"), "score",
-    )
+    asked = docs.mapInArrow(ask_rows(shape), ASKED)
+    answers = ws.save(asked.groupBy("bucket").applyInArrow(answer(shape), ANSWERS), "answers")
+    tokens, kinds = (x or 0 for x in answers.agg(F.sum("train_tokens"), F.sum("train_kinds")).first())
+    texts = docs.mapInArrow(text_rows, TEXTS)
+    answers = answers.where("batch is not null").drop("train_tokens", "train_kinds")
+    return texts.unionByName(answers, allowMissingColumns=True).groupBy("batch").applyInArrow(score_groups(shape, tokens, kinds), SCORED)
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

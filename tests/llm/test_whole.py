@@ -1,11 +1,16 @@
 """Inputs on which a cut of an operator would show: nothing is left out beyond some size."""
 
+import collections
+import math
+import zlib
+
 import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
-from linkloom.llm import ngram_join
+from linkloom.llm import lm, ngram_join
 from tests.llm import awkward
+from tests.llm.test_brute import LOWER, WORD
 
 
 def test_components_of_a_long_chain(spark):
@@ -21,3 +26,41 @@ def test_join_links_a_long_chain(spark, tmp_path):
     rows = [(i, " ".join(f"w{i + j}" for j in range(16)), None, None, 0, *awkward.CLASH) for i in range(1500)]
     got = ngram_join.op2_ngram_join(spark, awkward.write(spark, tmp_path, rows)).collect()
     assert len(got) == 1500 and {r["component_id"] for r in got} == {0}
+
+
+def test_filter_grows_with_what_is_counted():
+    """A block has bits for its own levels, and tells counts as well when it holds 50 times as many."""
+    shape = lm.Shape(1)
+    wrong, size = [], []
+    for n in (4000, 200000):
+        words = np.unique(lm.mix(np.arange(1, n + 1, dtype=lm.U)))
+        counts = np.random.default_rng(2).integers(1, 200, n).astype("<u4")
+        pairs = (lm.mix(words ^ lm.U(5)) & lm.U(0xFFFFFFFF)).astype("<u4")
+        table = pa.table([[0], [words.tobytes()], [counts.tobytes()], [pairs.tobytes()], [lm.pack(np.ones(n, "<u4"))]], schema=lm._COUNTS)
+        bits = np.frombuffer(lm.block_of(shape)(table)["block"][0].as_py(), np.uint8)
+        level = lm.levels_in(0, words & lm.U(0xFFFFFFFF), bits, shape, len(bits) * 8)
+        assert (level >= lm.level_of(counts, 1.5)).all() and lm.levels_in(0, pairs, bits, shape, len(bits) * 8).all()
+        wrong.append(np.mean(level > lm.level_of(counts, 1.5)))
+        size.append(len(bits))
+    assert max(wrong) < 0.02 and 40 < size[1] / size[0] < 60
+
+
+@pytest.mark.parametrize("group", [1 << 20, 500])
+def test_scores_come_from_all_counts(spark, tmp_path, monkeypatch, group):
+    """Scores are those of exact levels of all words and pairs, single pairs among them, but for one false level in 200."""
+    monkeypatch.setattr(lm, "GROUP", group)
+    d = awkward.write(spark, tmp_path)
+    rows = lm.op6_lm_scoring(spark, d).collect()
+    docs = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+    words = [(i, [*WORD.findall((t or "").translate(LOWER)), None]) for i, t in docs]
+    pairs = lambda t: zip([None, *t[:-1]], t, strict=True)
+    c = collections.Counter(w for i, t in words if not held(i) for w in t)
+    both = collections.Counter(p for i, t in words if not held(i) for p in pairs(t))
+    value = lambda n: float(lm.value_of(lm.level_of(np.array([n]), 1.5), 1.5)[0]) if n else 0.0
+    norm = sum(c.values()) + 0.5 * (len(c) + 1)
+    p = lambda u, w: 0.9 * (value(c[w]) + 0.5) / norm + 0.1 * min(1.0, value(both[u, w]) / max(value(c[u]), 1e-9))
+    want = sorted((str(i), sum(math.log10(p(u, w)) for u, w in pairs(t)) / len(t)) for i, t in words)
+    got = sorted((str(r["doc_id"]), r["score"] / r["n_tokens"]) for r in rows)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert np.mean([abs(x - y) < 0.02 * abs(y) for (_, x), (_, y) in zip(got, want, strict=True)]) > 0.9
