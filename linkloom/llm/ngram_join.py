@@ -481,14 +481,14 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
 
 
-def near_duplicate_stage(docs: DataFrame) -> DataFrame:
-    """The rows of each component's smallest id, with the columns of ``docs``.
+def near_duplicate_stage(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of each component's smallest id, with the columns of ``docs``: k-word shingles, similarity num / den or more.
 
     Texts without words all stay, rows without an id too; an id that repeats goes if all of its
     rows belong to components of smaller ids.
     """
     ws = Workspace(docs.sparkSession, "ngram")
-    found = jaccard_components(docs, ws=ws)
+    found = jaccard_components(docs, k, num, den, ws=ws)
     other = found.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.col("component_id") != F.col("doc_id")).alias("other"))
     drop = ws.save(other.where("other").select("doc_id"), "drop")
     marked = maybe_in(docs, F.coalesce(F.col("doc_id"), F.lit(-1)), bitmap(drop, "doc_id"))

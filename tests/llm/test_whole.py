@@ -64,3 +64,15 @@ def test_scores_come_from_all_counts(spark, tmp_path, monkeypatch, group):
     got = sorted((str(r["doc_id"]), r["score"] / r["n_tokens"]) for r in rows)
     assert [i for i, _ in got] == [i for i, _ in want]
     assert np.mean([abs(x - y) < 0.02 * abs(y) for (_, x), (_, y) in zip(got, want, strict=True)]) > 0.9
+
+
+@pytest.mark.parametrize("n, places", [(51, [25]), (100, [30, 60])])
+def test_stage_drops_borderline_near_copies(spark, n, places):
+    """0.8 or more by five words, less than 0.85 by four."""
+    base = [f"w{i}" for i in range(n)]
+    other = [f"x{i}" if i in places else w for i, w in enumerate(base)]
+    for k, least, most in ((5, 0.8, 0.82), (4, 0.84, 0.85)):
+        a, b = ({tuple(t[i : i + k]) for i in range(n - k + 1)} for t in (base, other))
+        assert least <= len(a & b) / len(a | b) < most
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(other))], "doc_id long, text string")
+    assert [r["doc_id"] for r in ngram_join.near_duplicate_stage(docs).collect()] == [1]
