@@ -5,13 +5,13 @@ from either end, take the next byte of every window, and a softmax over both sta
 position. A document's probabilities are the means over all its positions; nothing but bytes
 goes in. Training is plain numpy: cross entropy at every position, gradients by
 backpropagation through time over the window, Adam. It uses a bounded sample of labelled rows,
-``per_label`` for each of at most ``max_labels`` labels and ``window * 8`` characters of each,
-taken from a place in the text that the row's hash names.
+``per_label`` for each label, fewer where all labels would have more than ``max_rows`` but one at
+least, and ``window * 8`` characters of each, taken from a place in the text that the row's hash
+names.
 
 Defined results: a text that is null or has no letter gets ``und`` at 0; without any labelled
-row every text does; labels beyond ``max_labels`` by number of rows in the sample's fold aren't
-learned; rows are judged one by one; an empty table gives an empty one; other columns are
-ignored.
+row every text does; every label of the sample's fold is learned; rows are judged one by one; an
+empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -178,27 +178,27 @@ def predict_rows(p: dict, names: list[str]):
     return rows
 
 
-def sample_labelled(docs: DataFrame, per_label: int, max_labels: int, chars: int) -> DataFrame:
-    """(text, lang) of a bounded sample: the first ``per_label`` rows of each label by hash.
+def sample_labelled(docs: DataFrame, per_label: int, max_rows: int, chars: int) -> DataFrame:
+    """(text, lang) of a bounded sample: the first ``per_label`` rows of each label by hash, fewer of each beyond ``max_rows`` in all.
 
     Ranks are taken on ids alone, cut before the shuffle; ``chars`` characters of each text
     reach the driver, from a place that the hash names.
     """
     key = F.xxhash64("doc_id", F.lit(17))
-    top = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_labels).select("lang")
+    per_label = max(1, min(per_label, max_rows // max(1, docs.select("lang").distinct().count())))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_key", "doc_id"))
     ids = docs.select("doc_id", "lang", key.alias("_key")).withColumn("_rank", rank).where(F.col("_rank") <= per_label)
-    ids = ids.join(F.broadcast(top), "lang", "left_semi").select("doc_id").distinct()  # per_label * max_labels at most
+    ids = ids.select("doc_id").distinct()  # max_rows at most, or one a label
     start = F.pmod(key, F.greatest(F.char_length("text") - chars, F.lit(0)) + 1).cast("int") + 1
     return docs.join(F.broadcast(ids), "doc_id", "left_semi").select(F.substring(F.col("text"), start, F.lit(chars)).alias("text"), "lang")
 
 
-def identify(docs: DataFrame, held_out, per_label: int = 400, max_labels: int = 64, **training) -> DataFrame:
+def identify(docs: DataFrame, held_out, per_label: int = 400, max_rows: int = 25600, **training) -> DataFrame:
     """doc_id, held_out, lang_pred, score of ``docs`` (doc_id, text, lang); learns from rows that aren't held out."""
     make_importable(docs.sparkSession)
     docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     known = docs.where("not held_out and lang is not null and text is not null")
-    rows = sample_labelled(known, per_label, max_labels, WINDOW * 8).orderBy("lang", "text").collect()
+    rows = sample_labelled(known, per_label, max_rows, WINDOW * 8).orderBy("lang", "text").collect()
     names = sorted({r["lang"] for r in rows})
     p = train([r["text"] for r in rows], [names.index(r["lang"]) for r in rows], max(len(names), 1), **training)
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from linkloom.llm import lm, ngram_join
+from linkloom.llm import langid, lm, ngram_join
 from tests.llm import awkward
 from tests.llm.test_brute import LOWER, WORD
 
@@ -76,3 +76,19 @@ def test_stage_drops_borderline_near_copies(spark, n, places):
         assert least <= len(a & b) / len(a | b) < most
     docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(other))], "doc_id long, text string")
     assert [r["doc_id"] for r in ngram_join.near_duplicate_stage(docs).collect()] == [1]
+
+
+def test_every_label_is_learned(spark, monkeypatch):
+    """70 labels: the classifier gets a class for each."""
+    seen = []
+    train = langid.train
+    monkeypatch.setattr(langid, "train", lambda texts, labels, n, **k: seen.append((sorted(set(labels)), n)) or train(texts, labels, n, **k))
+    docs = spark.createDataFrame([(i, f"text {i}", f"l{i % 70:02}") for i in range(210)], "doc_id long, text string, lang string")
+    langid.identify(docs, langid.F.lit(False), steps=1)
+    assert seen == [([*range(70)], 70)]
+
+
+def test_sample_of_many_labels_is_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", f"l{i % 70}") for i in range(700)], "doc_id long, text string, lang string")
+    got = langid.sample_labelled(docs, 9, 140, 99).collect()
+    assert len(got) == 140 and len({r["lang"] for r in got}) == 70
