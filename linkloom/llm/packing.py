@@ -1,13 +1,12 @@
-"""Bulk-synchronous best-fit packing of token sequences.
-
-Lengths are whole numbers up to the capacity, so documents and gaps are range-sorted as
-counted classes: a row per length, whatever the size of the corpus. A superstep takes the
-longest class left and sweeps its documents over the gaps from the least successor up; the
-documents of a class that want gaps of one class meet them in order of rank, the gaps shrink,
-and the next superstep begins; gaps run out only when no open sequence can hold the document.
-The sweeps exchange counts (at most ``capacity`` rows) and yield rules by ranges of rank;
-ranks inside a length, their offsets between partitions and the placing of every piece are
-distributed.
+"""Best-fit packing of token sequences.
+
+Lengths are whole numbers up to the capacity, so documents and gaps are counted classes: a row
+per length, whatever the size of the corpus. One loop in the driver takes the longest class left
+and fits its documents into the gaps from the least that holds them up, a class of gaps at a
+time; a new sequence begins only when no open one can hold the document. It sees counts only (at
+most ``capacity`` rows) and yields rules by ranges of rank; ranks inside a length, their offsets
+between partitions and the placing of every piece are distributed. This stands in place of
+distributed successor sweeps over range-sorted rows, which would carry the same counts.
 
 Defined results: a null text is empty, one end token long; equal and repeated rows are packed
 one by one; an empty table gives an empty one; other columns are ignored.
