@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from linkloom.llm.shared import lean_map, small_batches
 from linkloom.runtime import make_importable
 
 WINDOW = 64
@@ -196,6 +197,7 @@ def sample_labelled(docs: DataFrame, per_label: int, max_rows: int, chars: int)
 def identify(docs: DataFrame, held_out, per_label: int = 400, max_rows: int = 25600, **training) -> DataFrame:
     """doc_id, held_out, lang_pred, score of ``docs`` (doc_id, text, lang); learns from rows that aren't held out."""
     make_importable(docs.sparkSession)
+    small_batches(docs.sparkSession)
     docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     known = docs.where("not held_out and lang is not null and text is not null")
     rows = sample_labelled(known, per_label, max_rows, WINDOW * 8).orderBy("lang", "text").collect()
@@ -203,7 +205,7 @@ def identify(docs: DataFrame, held_out, per_label: int = 400, max_rows: int = 25
     p = train([r["text"] for r in rows], [names.index(r["lang"]) for r in rows], max(len(names), 1), **training)
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return docs.select("doc_id", "text", "held_out", letter.alias("letter")).mapInArrow(
-        predict_rows(p, names), "doc_id long, held_out boolean, lang_pred string, score double"
+        lean_map(predict_rows(p, names)), "doc_id long, held_out boolean, lang_pred string, score double"
     )
 
 

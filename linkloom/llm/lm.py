@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.shared import Workspace, estimated_bytes
+from linkloom.llm.shared import Workspace, estimated_bytes, lean_group, lean_map
 from linkloom.llm.tokens import U, mix, word_slices
 
 END = U(0x5851F42D4C957F2D)
@@ -314,12 +314,12 @@ def score_texts(docs: DataFrame, held_out) -> DataFrame:
     shape = Shape(int(min(max(estimated_bytes(docs) // (8 << 20), 12), 1 << 14)))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
 
-    asked = docs.mapInArrow(ask_rows(shape), ASKED)
-    answers = ws.save(asked.groupBy("bucket").applyInArrow(answer(shape), ANSWERS), "answers")
+    asked = docs.mapInArrow(lean_map(ask_rows(shape)), ASKED)
+    answers = ws.save(asked.groupBy("bucket").applyInArrow(lean_group(answer(shape)), ANSWERS), "answers")
     tokens, kinds = (x or 0 for x in answers.agg(F.sum("train_tokens"), F.sum("train_kinds")).first())
-    texts = docs.mapInArrow(text_rows, TEXTS)
+    texts = docs.mapInArrow(lean_map(text_rows), TEXTS)
     answers = answers.where("batch is not null").drop("train_tokens", "train_kinds")
-    return texts.unionByName(answers, allowMissingColumns=True).groupBy("batch").applyInArrow(score_groups(shape, tokens, kinds), SCORED)
+    return texts.unionByName(answers, allowMissingColumns=True).groupBy("batch").applyInArrow(lean_group(score_groups(shape, tokens, kinds)), SCORED)
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.shared import BITMAP_BITS, Workspace, bitmap, estimated_bytes, maybe_in
+from linkloom.llm.shared import BITMAP_BITS, Workspace, bitmap, estimated_bytes, flat, lean_group, lean_map, maybe_in
 from linkloom.llm.tokens import U, mix, word_slices
 
 MULT = U(0xD6E8FEB86659FD93)
@@ -225,15 +225,16 @@ _FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 
 def meet(table: pa.Table) -> pa.Table:
     """Pairs (kind 0) of nodes that share an entry of a bucket; rows (entry, node) of crowded entries (kind 1)."""
-    sig = np.concatenate([np.frombuffer(x, "<u4") for x in table["sigs"].to_pylist()])
-    node = np.concatenate([np.repeat(np.frombuffer(x, "<i8"), np.frombuffer(c, "<u4")) for x, c in zip(table["nodes"].to_pylist(), table["counts"].to_pylist(), strict=True)])
-    order = np.argsort(sig, kind="stable")
-    sig, node = sig[order], node[order]
-    same = sig[1:] == sig[:-1]
+    sig = flat(table["sigs"], "<u4")
+    node = np.repeat(flat(table["nodes"], "<i8"), flat(table["counts"], "<u4"))  # the rows' own order holds for all three
+    order = np.argsort(sig, kind="stable").astype(np.uint32 if len(sig) < 1 << 32 else np.int64)
+    same = sig[order[1:]] == sig[order[:-1]]
     shared = np.zeros(len(sig), bool)
     shared[1:] |= same
     shared[:-1] |= same
-    sig, node = sig[shared], node[shared]
+    order = order[shared]  # most entries are of one set
+    sig, node = sig[order], node[order]
+    del order, same, shared
     order = np.lexsort((node, sig))
     sig, node = sig[order], node[order]
     fresh = np.ones(len(sig), bool)
@@ -306,14 +307,14 @@ def sieve(pairs: DataFrame, sets: DataFrame, num: int, den: int, ws: Workspace,
     """Pairs (a, b) less those that sizes or sketches rule out."""
     sides = [sets.select(F.col("node").alias(c), F.col("n_shingles").alias(n), F.col("sketch").alias(x)) for c, n, x in (("a", "n", "x"), ("b", "m", "y"))]
     both = pairs.join(sides[0], "a").join(sides[1], "b").where(den * F.least("n", "m") >= num * F.greatest("n", "m"))
-    return ws.save(both.select("a", "b", "n", "m", "x", "y").mapInArrow(near(num, den), "a long, b long"), name)
+    return ws.save(both.select("a", "b", "n", "m", "x", "y").mapInArrow(lean_map(near(num, den)), "a long, b long"), name)
 
 
 def verify(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, ws: Workspace, name: str) -> DataFrame:
     """Of the pairs (a, b) of nodes those whose whole sets are similar."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     bits = docs.sparkSession.sparkContext.broadcast(node_bitmap(nodes))
-    work = wanted_sets(k, _Late(bits))
+    work = lean_map(wanted_sets(k, _Late(bits)))
     sets = docs.select("text").mapInArrow(work, "node long, shingles array<long>")
     sets = ws.save(sets.groupBy("node").agg(F.first("shingles").alias("s")), f"{name}_sets")
     joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
@@ -410,7 +411,7 @@ def across(crowd: DataFrame, label: DataFrame, sets: DataFrame, num: int, den: i
     crowd = crowd.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     crowd = crowd.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     crowd = crowd.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    found = crowd.select("entry", "lo", "hi", "node", "comp", "n_shingles", "block", "sketch", "named").groupBy("entry", "lo", "hi").applyInArrow(compare(num, den), "a long, b long")
+    found = crowd.select("entry", "lo", "hi", "node", "comp", "n_shingles", "block", "sketch", "named").groupBy("entry", "lo", "hi").applyInArrow(lean_group(compare(num, den)), "a long, b long")
     return found.distinct()
 
 
@@ -420,12 +421,12 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     ws = ws or Workspace(spark, "ngram")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scheme = Scheme.of(num, den, choose(docs, k, num, den) if doubled is None else doubled)
-    buckets = int(min(max(estimated_bytes(docs) // BUCKET_BYTES, 12), 1 << 16))
-    rows = docs.mapInArrow(index_rows(k, scheme, buckets), ROWS)
+    buckets = int(min(max(estimated_bytes(docs) // BUCKET_BYTES, 12), 1 << 20))
+    rows = docs.mapInArrow(lean_map(index_rows(k, scheme, buckets)), ROWS)
     rows.write.partitionBy("kind").parquet(ws.path("rows"))
     rows = spark.read.schema(rows.schema).parquet(ws.path("rows"))
     sets = rows.where("kind = 0").select("doc_id", "n_shingles", "node")
-    found = rows.where("kind = 1").select("bucket", "sigs", "nodes", "counts").groupBy("bucket").applyInArrow(meet, FOUND)
+    found = rows.where("kind = 1").select("bucket", "sigs", "nodes", "counts").groupBy("bucket").applyInArrow(lean_group(meet), FOUND)
     found = ws.save(found, "found")
     met = ws.save(found.where("kind = 0").select("a", "b").distinct(), "met")
     crowd = found.where("kind = 1").select(F.col("a").alias("entry"), F.col("b").alias("node"))

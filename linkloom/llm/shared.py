@@ -7,9 +7,14 @@ driver and executors share, so a lost executor costs a re-read and no recomputat
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
 import uuid
+from functools import wraps
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +29,12 @@ _LEFT: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; where it is unset (tests), a folder of this machine."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset and all runs on this machine (tests), a folder of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is unset: working tables need a folder that driver and executors share")
         named = getattr(shared_folder, "own", None)
         if named is None:
             named = shared_folder.own = "file://" + tempfile.mkdtemp(prefix="linkloom-")
@@ -38,6 +46,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, name: str):
         make_importable(spark)
+        small_batches(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         _LEFT.append((spark, self.root))
@@ -81,6 +90,71 @@ def _clean() -> None:
             pass
 
 
+# --- memory of Python workers -----------------------------------------------------------
+
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 1,000 rows in place of Spark's default of 10,000: whole texts are in them, in the JVM and in Python. Another setting stays."""
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
+
+
+def _lean() -> None:
+    """What this worker frees goes back to the system: large blocks are mapped one by one, Arrow keeps none."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD
+    except (OSError, AttributeError):  # another C library: memory is kept for later batches
+        pass
+
+
+def _trim() -> None:
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def lean_map(rows):
+    """For mapInArrow: ``rows`` in a worker that holds on to no memory between tasks."""
+
+    @wraps(rows)
+    def work(batches):
+        _lean()
+        yield from rows(batches)
+        _trim()
+
+    return work
+
+
+def lean_group(work):
+    """For applyInArrow: likewise; memory is handed back after large groups."""
+
+    @wraps(work)
+    def lean(table: pa.Table) -> pa.Table:
+        _lean()
+        out = work(table)
+        if table.nbytes > 1 << 20:
+            _trim()
+        return out
+
+    return lean
+
+
+def flat(column: pa.ChunkedArray, dtype) -> np.ndarray:
+    """All bytes of a binary column, one value after the other, as numbers."""
+    parts = []
+    for x in column.chunks:
+        if len(x) and x.buffers()[2] is not None:
+            at = np.frombuffer(x.buffers()[1], np.int64 if pa.types.is_large_binary(x.type) else np.int32)
+            lo, hi = int(at[x.offset]), int(at[x.offset + len(x)])
+            parts.append(np.frombuffer(x.buffers()[2], np.uint8)[lo:hi])
+    return np.concatenate(parts).view(dtype) if parts else np.zeros(0, dtype)
+
+
 def words(text: Column) -> Column:
     """Array of the words of ``text``; null and blank texts have none."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARS))

@@ -102,7 +102,6 @@ def test_packing(spark, tmp_path, where):
     from tokenizers import Tokenizer
 
     named = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    named.encode_special_tokens = True
     want = collections.Counter()
     for i, t in documents(spark, d):
         ids = np.array([*named.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
@@ -130,6 +129,35 @@ def test_packing(spark, tmp_path, where):
     assert len(by) <= len(gaps) * 1.01 + 1
 
 
+@pytest.mark.parametrize("blank", " \t\n")
+def test_long_runs_of_blanks_encode(blank):
+    """The fast library gives up on these."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    named = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "a" + blank * 2_000_000 + "b"
+    assert packing.encoder(None)(text).tolist() == named.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_needs_few_supersteps(spark):
+    """Lengths of every kind: all are placed once, in few more sequences than plain best fit needs."""
+    rng = np.random.default_rng(3)
+    for sizes in (rng.integers(1, 2049, 4000), rng.integers(1, 60, 4000), np.minimum(2048, rng.exponential(300, 4000).astype(int) + 1)):
+        ws = packing.Workspace(spark, "fit")
+        counts = collections.Counter(sizes.tolist())
+        rules = packing.match(spark.createDataFrame([*counts.items()], "length long, n long"), 2048, 4, ws).collect()
+        held, ranks = collections.Counter(), collections.Counter()
+        for r in rules:
+            ranks[r["size"]] += r["n"]
+            for k in range(r["n"]):
+                held[r["bin"] + k // r["per_bin"]] += r["size"]
+        assert ranks == counts and max(held.values()) <= 2048 and sum(held.values()) == sizes.sum()
+        one = packing.fit({x: (0, n) for x, n in counts.items()}, {2048: [(0, len(sizes))]}, 2048, 1)
+        assert len(held) <= 1.01 * len({r[4] + k // r[5] for r in one if r[0] == packing.RULE for k in range(r[3])}) + 1
+        assert sorted(held) == [*range(len(held))]
+
+
 def test_plain_texts_encode_alike():
     import public_tokenizers
     from tokenizers import Tokenizer
