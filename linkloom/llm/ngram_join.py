@@ -13,9 +13,14 @@ Empty segments are worth nothing; schemes have slack for them, and a set with to
 its empty segments too. Index entries travel as packed arrays by bucket of the entry's hash, so
 the join is a sort in numpy. Entries shared by few sets yield all their pairs; an entry shared
 by many yields pairs with one centre first, and only where its sets don't fall into one
-component then, the pairs across components. Pairs are verified on the whole sets.
+component then, the pairs across components. An entry of more than BLOCK sets is refined before
+that: its sets are indexed anew by the rarest of their shingles, as many as two similar sets
+can't both lack, so that a passage common to thousands of unlike documents pairs none of them.
+Pairs are verified on the whole sets.
 
-Sets are nodes by a 64-bit hash, so copies are one node whatever their number.
+Sets are nodes by a 64-bit hash, so copies are one node whatever their number. A second digest
+tells whether two sets share a node; then all is done again under another key. Shingles are
+64-bit hashes too: two in one pair of texts are taken for equal once in 2^64, whatever the texts.
 
 Defined results: a text without words, or null, has no shingle and is linked with nothing; a
 text of fewer than k words has one; rows with a null id belong to the component of their set,
@@ -38,6 +43,7 @@ from linkloom.llm.tokens import U, mix, word_slices
 
 MULT = U(0xD6E8FEB86659FD93)
 SEG, BAND, OWN = U(0xA0761D6478BD642F), U(0xE7037ED1A0B428DB), U(0x8EBC6AF09C88C6E3)
+CHECK = U(0x2545F4914F6CDD1D)
 LARGEST = 1 << 31
 #: An index entry shared by more sets than this yields pairs with its centre first.
 FEW = 8
@@ -73,9 +79,9 @@ class Scheme:
         return cls(*[np.array(x, np.int64) for x in (upper, most, segments, twice)])
 
 
-def sets_of(texts: pa.Array, k: int):
-    """For slices of rows: (first row, shingle hashes sorted and distinct, where each row's begin, node of each row)."""
-    for a, b, h, at in word_slices(texts):
+def sets_of(texts: pa.Array, k: int, key: int = 0):
+    """For slices of rows: (first row, shingle hashes sorted and distinct, where each row's begin, node and check digest of each row)."""
+    for a, b, h, at in word_slices(texts, key):
         n = np.diff(at)
         with np.errstate(over="ignore"):
             if len(h) >= k:
@@ -107,9 +113,10 @@ def sets_of(texts: pa.Array, k: int):
         at = total[np.concatenate([[0], ends])]
         s = s[first]
         with np.errstate(over="ignore"):
-            sums = np.concatenate([np.zeros(1, U), np.cumsum(mix(s ^ SEG))])
-            node = mix((sums[at[1:]] - sums[at[:-1]]) + np.diff(at).astype(U) * BAND)
-        yield a, s, at, node
+            node, check = (
+                mix((sums[at[1:]] - sums[at[:-1]]) + np.diff(at).astype(U) * BAND) for sums in (np.concatenate([np.zeros(1, U), np.cumsum(mix(s ^ by))]) for by in (SEG, CHECK))
+            )
+        yield a, s, at, node, check
 
 
 def entries(s: np.ndarray, at: np.ndarray, scheme: Scheme):
@@ -167,11 +174,11 @@ def fold(x: np.ndarray, size: int) -> np.ndarray:
     return x
 
 
-ROWS = "kind int, doc_id long, n_shingles long, node long, sketch binary, bucket int, sigs binary, nodes binary, counts binary"
-_ROWS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sketch", pa.binary()), ("bucket", pa.int32()), ("sigs", pa.binary()), ("nodes", pa.binary()), ("counts", pa.binary())])
+ROWS = "kind int, doc_id long, n_shingles long, node long, check long, sketch binary, bucket int, sigs binary, nodes binary, counts binary"
+_ROWS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("sketch", pa.binary()), ("bucket", pa.int32()), ("sigs", pa.binary()), ("nodes", pa.binary()), ("counts", pa.binary())])
 
 
-def index_rows(k: int, scheme: Scheme, buckets: int):
+def index_rows(k: int, scheme: Scheme, buckets: int, key: int = 0):
     """mapInArrow over (doc_id, text): a row of kind 0 per document, rows of kind 1 with packed entries."""
 
     def packed(sig: np.ndarray, node: np.ndarray):
@@ -184,7 +191,7 @@ def index_rows(k: int, scheme: Scheme, buckets: int):
             part = node[lo:hi]
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             runs = np.diff(np.append(first, hi - lo))
-            out.append((1, None, None, None, None, int(bucket[lo]), sig[lo:hi].astype("<u4").tobytes(), part[first].astype("<u8").tobytes(), runs.astype("<u4").tobytes()))
+            out.append((1, None, None, None, None, None, int(bucket[lo]), sig[lo:hi].astype("<u4").tobytes(), part[first].astype("<u8").tobytes(), runs.astype("<u4").tobytes()))
         return out
 
     def rows(batches):
@@ -192,9 +199,9 @@ def index_rows(k: int, scheme: Scheme, buckets: int):
             ids = batch.column(0)
             sigs, nodes, seen = [], [], set()
             docs = []
-            for a, s, at, node in sets_of(batch.column(1), k):
+            for a, s, at, node, check in sets_of(batch.column(1), k, key):
                 n = np.diff(at)
-                docs.append((n, node.view(np.int64), [sketch(s[x:y]).tobytes() for x, y in zip(at[:-1], at[1:], strict=True)]))
+                docs.append((n, node.view(np.int64), check.view(np.int64), [sketch(s[x:y]).tobytes() for x, y in zip(at[:-1], at[1:], strict=True)]))
                 fresh = np.array([not (x in seen or seen.add(x)) for x in node.tolist()], bool)  # copies are one node
                 if not fresh.all():
                     s = s[np.repeat(fresh, n)]
@@ -211,10 +218,10 @@ def index_rows(k: int, scheme: Scheme, buckets: int):
             if sigs:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*packed(np.concatenate(sigs), np.concatenate(nodes))), _ROWS.types, strict=True)], schema=_ROWS)
             if docs:
-                n, node = (np.concatenate([x[i] for x in docs]) for i in (0, 1))
-                sketches = pa.array([y for x in docs for y in x[2]], pa.binary())
-                nothing = [pa.nulls(len(n), t) for t in _ROWS.types[5:]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), ids.cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(node), sketches, *nothing], schema=_ROWS)
+                n, node, check = (np.concatenate([x[i] for x in docs]) for i in (0, 1, 2))
+                sketches = pa.array([y for x in docs for y in x[3]], pa.binary())
+                nothing = [pa.nulls(len(n), t) for t in _ROWS.types[6:]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), ids.cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(node), pa.array(check), sketches, *nothing], schema=_ROWS)
 
     return rows
 
@@ -257,14 +264,14 @@ def meet(table: pa.Table) -> pa.Table:
     return pa.table([np.concatenate([np.zeros(len(pairs), np.int32), np.ones(len(crowd), np.int32)]), np.concatenate([pairs[:, 0], entry]), np.concatenate([pairs[:, 1], node[crowd]])], schema=_FOUND)
 
 
-def wanted_sets(k: int, bits: np.ndarray):
+def wanted_sets(k: int, bits: np.ndarray, key: int = 0):
     """mapInArrow over text: (node, shingles) of the nodes that the bitmap may hold."""
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def rows(batches):
         for batch in batches:
             seen = set()
-            for _, s, at, node in sets_of(batch.column(0), k):
+            for _, s, at, node, _check in sets_of(batch.column(0), k, key):
                 place = (node >> U(38)).astype(np.int64)
                 take = [d for d in np.flatnonzero((bits[place >> 3] >> (place & 7)) & 1) if not (node[d] in seen or seen.add(node[d]))]
                 if take:
@@ -310,17 +317,21 @@ def sieve(pairs: DataFrame, sets: DataFrame, num: int, den: int, ws: Workspace,
     return ws.save(both.select("a", "b", "n", "m", "x", "y").mapInArrow(lean_map(near(num, den)), "a long, b long"), name)
 
 
-def verify(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, ws: Workspace, name: str) -> DataFrame:
-    """Of the pairs (a, b) of nodes those whose whole sets are similar."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def whole_sets(docs: DataFrame, nodes: DataFrame, k: int, key: int, ws: Workspace, name: str) -> DataFrame:
+    """(node, s): the whole sets of ``nodes``, and of some others that their bitmap can't tell apart."""
     bits = docs.sparkSession.sparkContext.broadcast(node_bitmap(nodes))
-    work = lean_map(wanted_sets(k, _Late(bits)))
-    sets = docs.select("text").mapInArrow(work, "node long, shingles array<long>")
+    sets = docs.select("text").mapInArrow(lean_map(wanted_sets(k, _Late(bits), key)), "node long, shingles array<long>")
     sets = ws.save(sets.groupBy("node").agg(F.first("shingles").alias("s")), f"{name}_sets")
+    bits.unpersist()
+    return sets
+
+
+def verify(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, key: int, ws: Workspace, name: str) -> DataFrame:
+    """Of the pairs (a, b) of nodes those whose whole sets are similar."""
+    sets = whole_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), k, key, ws, name)
     joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
     joined = joined.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).cast("long").alias("both"))
     linked = ws.save(joined.where(den * F.col("both") >= num * (F.col("n") + F.col("m") - F.col("both"))).select("a", "b"), name)
-    bits.unpersist()
     ws.drop(f"{name}_sets")
     return linked
 
@@ -396,16 +407,37 @@ def compare(num: int, den: int):
     return work
 
 
-def across(crowd: DataFrame, label: DataFrame, sets: DataFrame, num: int, den: int, ws: Workspace) -> DataFrame:
-    """Pairs of nodes of a crowded entry that aren't in one component yet and that sketches don't rule out.
+def open_entries(crowd: DataFrame, label: DataFrame) -> DataFrame:
+    """``crowd`` (entry, node) with the nodes' components and the entry's size ``k``, where there are two components or more."""
+    crowd = crowd.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    found = crowd.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo <> hi").select("entry", "k")
+    return crowd.join(found, "entry")
+
+
+def rarest(docs: DataFrame, nodes: DataFrame, k: int, num: int, den: int, key: int, ws: Workspace) -> DataFrame:
+    """(entry, node): each node of ``nodes`` under the rarest of its shingles, one more than similar sets can differ by.
+
+    All sets rank shingles alike, by the number of these nodes that have them. Of two similar
+    sets of n and m shingles at least num / den * max(n, m) are common, so the first
+    n - ceil(num / den * n) + 1 of either hold one of those.
+    """
+    sets = whole_sets(docs, nodes, k, key, ws, "large").join(nodes, "node", "left_semi")
+    each = sets.select("node", F.explode("s").alias("entry"))
+    each = each.join(each.groupBy("entry").agg(F.count(F.lit(1)).alias("n")), "entry")
+    ranked = each.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "entry"))).alias("s"))  # a set: no larger than its text
+    first = F.size("s") - F.expr(f"cast((size(s) * {num}L + {den - 1}) div {den} as int)") + 1
+    found = ws.save(ranked.select("node", F.explode(F.slice("s", F.lit(1), first)).alias("x")).where("x.n > 1").select(F.col("x.entry").alias("entry"), "node"), "rarest")
+    ws.drop("large_sets")
+    return found
+
+
+def across(crowd: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of nodes of an open entry that aren't in one component yet and that sketches don't rule out.
 
     An entry with more than BLOCK nodes is cut in blocks of about that size, and a task gets two
     of them, so no task holds a whole large entry.
     """
-    crowd = crowd.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_ = crowd.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo <> hi")
-    open_ = open_.select("entry", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
-    crowd = crowd.join(open_, "entry")
+    crowd = crowd.withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int")).drop("k")
     named = crowd.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("entry")), 1, NAMED).alias("named"))
     crowd = crowd.join(named, "node").join(sets.select("node", "n_shingles", "sketch"), "node")
     crowd = crowd.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -415,17 +447,21 @@ def across(crowd: DataFrame, label: DataFrame, sets: DataFrame, num: int, den: i
     return found.distinct()
 
 
-def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, doubled=None, ws: Workspace | None = None) -> DataFrame:
-    """(doc_id, n_shingles, node, component_id) of each row of ``docs`` (doc_id, text)."""
+def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, doubled=None, ws: Workspace | None = None, key: int = 0) -> DataFrame:
+    """(doc_id, n_shingles, node, component_id) of each row of ``docs`` (doc_id, text); ``key``: of the hashes."""
     spark = docs.sparkSession
     ws = ws or Workspace(spark, "ngram")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scheme = Scheme.of(num, den, choose(docs, k, num, den) if doubled is None else doubled)
     buckets = int(min(max(estimated_bytes(docs) // BUCKET_BYTES, 12), 1 << 20))
-    rows = docs.mapInArrow(lean_map(index_rows(k, scheme, buckets)), ROWS)
-    rows.write.partitionBy("kind").parquet(ws.path("rows"))
+    rows = docs.mapInArrow(lean_map(index_rows(k, scheme, buckets, key)), ROWS)
+    rows.write.mode("overwrite").partitionBy("kind").parquet(ws.path("rows"))
     rows = spark.read.schema(rows.schema).parquet(ws.path("rows"))
-    sets = rows.where("kind = 0").select("doc_id", "n_shingles", "node")
+    sets = rows.where("kind = 0").select("doc_id", "n_shingles", "node", "check")
+    ids = sets.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("check").alias("lo"), F.max("check").alias("hi"))
+    ids = ws.save(ids, "nodes")
+    if not ids.where("lo <> hi").isEmpty():  # two sets on one node
+        return jaccard_components(docs, k, num, den, doubled, ws, key + 1)
     found = rows.where("kind = 1").select("bucket", "sigs", "nodes", "counts").groupBy("bucket").applyInArrow(lean_group(meet), FOUND)
     found = ws.save(found, "found")
     met = ws.save(found.where("kind = 0").select("a", "b").distinct(), "met")
@@ -433,17 +469,21 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     involved = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()  # a crowded entry's nodes met its centre
     sketches = rows.where("kind = 0").select("node", "n_shingles", "sketch").join(involved, "node", "left_semi")
     sketches = ws.save(sketches.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "sketches")
-    edges = verify(docs, sieve(met, sketches, num, den, ws, "pairs"), k, num, den, ws, "edges")
+    edges = verify(docs, sieve(met, sketches, num, den, ws, "pairs"), k, num, den, key, ws, "edges")
     label = components(edges, ws, "first")
-    rest = ws.save(across(crowd, label, sketches, num, den, ws).join(met, ["a", "b"], "left_anti"), "rest")
+    crowd = ws.save(open_entries(crowd, label), "open")
+    large = ws.save(crowd.where(F.col("k") > BLOCK).select("node").distinct(), "large")
+    if not large.isEmpty():
+        again = open_entries(rarest(docs, large, k, num, den, key, ws), label)
+        crowd = crowd.where(F.col("k") <= BLOCK).unionByName(again.select(crowd.columns))
+    rest = ws.save(across(crowd, sketches, num, den).join(met, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        more = verify(docs, rest, k, num, den, ws, "more")
+        more = verify(docs, rest, k, num, den, key, ws, "more")
         label = components(edges.unionByName(more), ws, "second")
-    ids = sets.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    ids = ids.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    ids = ids.select("node", "least").join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = ids.groupBy("comp").agg(F.min("least").alias("component_id"))
     ids = ws.save(ids.join(least, "comp").select("node", "component_id"), "ids")
-    out = sets.join(ids, "node", "left")
+    out = sets.drop("check").join(ids, "node", "left")
     return out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
 
 
@@ -462,7 +502,7 @@ def choose(docs: DataFrame, k: int, num: int, den: int, sample_rows: int = 4000,
     def rows(batches):
         schema = pa.schema([("way", pa.int32()), ("band", pa.int32()), ("sig", pa.int64())])
         for batch in batches:
-            for _, s, at, _node in sets_of(batch.column(0), k):
+            for _, s, at, _node, _check in sets_of(batch.column(0), k):
                 size = np.diff(at)
                 band = np.searchsorted(ways[0].upper, size)
                 low = band <= 24  # larger sets have segments that no other set shares by chance

@@ -92,3 +92,39 @@ def test_sample_of_many_labels_is_bounded_by_rows(spark):
     docs = spark.createDataFrame([(i, f"text {i}", f"l{i % 70}") for i in range(700)], "doc_id long, text string, lang string")
     got = langid.sample_labelled(docs, 9, 140, 99).collect()
     assert len(got) == 140 and len({r["lang"] for r in got}) == 70
+
+
+def test_made_words_have_hashes_of_their_own():
+    """Thue-Morse words defeat polynomials modulo a power of two; a key gives other hashes."""
+    from linkloom.llm.tokens import word_slices
+
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    h = lambda key: next(word_slices(pa.array([f"{one} {other} {one.upper()} ab ba a\u00e9"]), key))[2].tolist()
+    x, y, z, *rest = h(0)
+    assert x != y and x == z and len({x, y, *rest}) == 5 and not {*h(0)} & {*h(7)}
+
+
+def test_common_passage_pairs_no_unlike_documents(spark, tmp_path, monkeypatch):
+    """300 unlike documents around one passage, some with near copies, in blocks of 32: links as by brute force, few pairs told."""
+    import random
+
+    from tests.llm.test_brute import brute_components, documents
+
+    rng = random.Random(8)
+    passage = awkward.sentence(rng, 120)
+    rows = []
+    for i in range(300):
+        own = awkward.sentence(rng, 60).split()
+        rows.append((3 * i, " ".join(own[:30]) + " " + passage + " " + " ".join(own[30:]), None, None, 0, *awkward.CLASH))
+        if i % 10 == 0:
+            own[rng.randrange(60)] = "zz"
+            rows.append((3 * i + 1, " ".join(own[:30]) + " " + passage + " " + " ".join(own[30:]), None, None, 0, *awkward.CLASH))
+    d = awkward.write(spark, tmp_path, rows)
+    monkeypatch.setattr(ngram_join, "BLOCK", 32)
+    told = []
+    across = ngram_join.across
+    monkeypatch.setattr(ngram_join, "across", lambda crowd, *x: told.append(crowd.where("k > 32").count()) or across(crowd, *x))
+    got = ngram_join.op2_ngram_join(spark, d)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_components(documents(spark, d))
+    assert told == [0]
