@@ -10,7 +10,8 @@ least, and ``window * 8`` characters of each, taken from a place in the text tha
 names.
 
 Defined results: a text that is null or has no letter gets ``und`` at 0; without any labelled
-row every text does; every label of the sample's fold is learned; rows are judged one by one; an
+row every text does; every label of the sample's fold is learned; rows that repeat id and text
+are learned once, rows without an id belong to those learned from; rows are judged one by one; an
 empty table gives an empty one; other columns are ignored.
 """
 
@@ -182,16 +183,19 @@ def predict_rows(p: dict, names: list[str]):
 def sample_labelled(docs: DataFrame, per_label: int, max_rows: int, chars: int) -> DataFrame:
     """(text, lang) of a bounded sample: the first ``per_label`` rows of each label by hash, fewer of each beyond ``max_rows`` in all.
 
-    Ranks are taken on ids alone, cut before the shuffle; ``chars`` characters of each text
-    reach the driver, from a place that the hash names.
+    Labels are counted first, so that only about three times the rows asked for are ranked;
+    rows equal in id and text count once. ``chars`` characters of a text come along, from a
+    place that the hash names.
     """
-    key = F.xxhash64("doc_id", F.lit(17))
-    per_label = max(1, min(per_label, max_rows // max(1, docs.select("lang").distinct().count())))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_key", "doc_id"))
-    ids = docs.select("doc_id", "lang", key.alias("_key")).withColumn("_rank", rank).where(F.col("_rank") <= per_label)
-    ids = ids.select("doc_id").distinct()  # max_rows at most, or one a label
-    start = F.pmod(key, F.greatest(F.char_length("text") - chars, F.lit(0)) + 1).cast("int") + 1
-    return docs.join(F.broadcast(ids), "doc_id", "left_semi").select(F.substring(F.col("text"), start, F.lit(chars)).alias("text"), "lang")
+    docs = docs.withColumn("_key", F.pmod(F.xxhash64("doc_id", "text", F.lit(17)), F.lit(1 << 62)))
+    labels = docs.groupBy("lang").agg(F.approx_count_distinct("_key").alias("_n"))
+    per_label = max(1, min(per_label, max_rows // max(1, labels.count())))
+    labels = labels.select("lang", (F.lit(float(1 << 62)) * (3 * per_label + 30) / F.col("_n")).alias("_most"))
+    few = docs.join(F.broadcast(labels), "lang").where(F.col("_key") < F.col("_most"))  # a row a label, as in the sample that the driver gets
+    start = F.pmod("_key", F.greatest(F.char_length("text") - chars, F.lit(0)) + 1).cast("int") + 1
+    few = few.select("lang", "_key", F.substring(F.col("text"), start, F.lit(chars)).alias("text")).groupBy("lang", "_key").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_key"))
+    return few.withColumn("_rank", rank).where(F.col("_rank") <= per_label).select("text", "lang")
 
 
 def identify(docs: DataFrame, held_out, per_label: int = 400, max_rows: int = 25600, **training) -> DataFrame:

@@ -286,3 +286,52 @@ def test_warc_awkward_records(spark, tmp_path):
     assert "title: A & B\r\n" in meta["block"] and "language: de\r\n" in meta["block"] and "source-header-content-type: text/html; charset=utf-8" in meta["block"]
     assert warc.derive(warc.responses(spark.read.parquet(f"{tmp_path}/pages.parquet")).withColumn("type", F.lit("request"))).count() == 0
     assert [r["target_uri"] for r in rows if r["page_id"] == 2] == [None, None] and "WARC-Target-URI" not in next(r for r in rows if r["page_id"] == 2)["headers"]
+
+
+def test_warc_files_round_trip(spark, tmp_path):
+    """Records of any bytes through Spark's writer and reader, plain and gzipped; derivatives of what was read."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    odd = [("WARC-Type: response\r\nWARC-Record-ID: <x>\r\nContent-Length: 9\r\n", b"\xff\x00\r\n\r\n\n\x80z")]
+    records = warc.responses(pages).select("headers", "block").unionByName(spark.createDataFrame(odd, "headers string, block binary"))
+    want = sorted((r["headers"], bytes(r["block"])) for r in records.collect())
+    for kind in ("none", "gzip"):
+        warc.write_warc(records, f"{tmp_path}/{kind}", kind)
+        back = warc.read_warc(spark, f"{tmp_path}/{kind}")
+        assert sorted((r["headers"], bytes(r["block"])) for r in back.collect()) == want
+    texts = lambda df: sorted((r["refers_to"], r["type"], r["content_length"], r["block_digest"]) for r in df.collect())
+    assert texts(warc.derive(back.where("record_id <> '<x>'"))) == texts(warc.derive(warc.responses(pages)))
+
+
+def test_warc_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert warc.op9_warc(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("piece", ["<!--", "<script>", "<a", "<title", "<title>", "<html lang", "</script ", "&#99999", "<p>", "<", "<style><!--"])
+def test_long_pages_of_what_never_ends(piece):
+    """5 MB each, in time by their length."""
+    import time
+
+    began = time.perf_counter()
+    page = piece * (5_000_000 // len(piece))
+    warc.text_of(page), warc.title_of(page), warc.language_of(page)
+    warc.text_of("&#" + "9" * 5_000_000 + ";")
+    assert time.perf_counter() - began < 40
+
+
+def slow_text(page):
+    """The definition, tag by tag, for pages whose tags end."""
+    page = re.sub(r"<!--.*?-->|<(script|style|noscript|template|head)\b[^>]*>.*?</\1\s*>", " ", page, flags=re.S | re.I)
+    page = re.sub(rf"</?(?:{warc.BREAKS})\b[^>]*>", "\n", page, flags=re.I)
+    page = re.sub(r"<[!/?a-zA-Z][^>]*>", "", page)
+    import html
+
+    lines = (" ".join(x.split()) for x in html.unescape(page).split("\n"))
+    return "\n".join(x for x in lines if x)
+
+
+def test_warc_text_equals_its_definition(spark):
+    pages = [r["html"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    pages += ["a < b <p>c</P ><br/>d <!-- <p> --> e<script>if (a<b) x()</script >f<!doctype x>&amp;lt;", "<head><title>T</title></head>x", "1 <2 <<b>3</b>"]
+    for page in pages:
+        assert warc.text_of(page) == slow_text(page)

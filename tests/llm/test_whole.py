@@ -128,3 +128,12 @@ def test_common_passage_pairs_no_unlike_documents(spark, tmp_path, monkeypatch):
     got = ngram_join.op2_ngram_join(spark, d)
     assert sorted(map(tuple, got.collect()), key=str) == brute_components(documents(spark, d))
     assert told == [0]
+
+
+def test_sample_is_of_rows_not_of_ids(spark):
+    """3,000 rows that share an id, and copies of one row."""
+    rows = [(i if i < 1000 else 7, f"text {i}", "a") for i in range(4000)] + [(9, "same", "a")] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [r["text"] for r in langid.sample_labelled(docs, 400, 25600, 99).collect()]
+    assert len(got) == len(set(got)) == 400
+    assert got and sorted(got) == sorted(r["text"] for r in langid.sample_labelled(docs.repartition(5), 400, 25600, 99).collect())
