@@ -379,9 +379,16 @@ BLOCK = 1024
 NAMED = 32
 
 
-def compare(num: int, den: int):
-    """applyInArrow by entry and pair of blocks: pairs across components that sketches don't rule out."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+#: Partners of a set that its first comparison with a block tells, and by how much each next one raises that.
+PARTNERS, MORE = 3, 64
+
+
+def compare(num: int, den: int, partners: int):
+    """applyInArrow by entry and pair of blocks: pairs across components that sketches don't rule out.
+
+    Of each set's partners the likeliest ``partners`` are told; ``more`` where there are others.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
 
     def work(table: pa.Table) -> pa.Table:
         node, comp, n, block = (table[c].to_numpy() for c in ("node", "comp", "n_shingles", "block"))
@@ -397,12 +404,17 @@ def compare(num: int, den: int):
             j = j[den * np.minimum(n[j], n[i]) >= num * np.maximum(n[j], n[i])]
             if len(j):
                 differ = np.bitwise_count(words[j] ^ words[i]).sum(1, dtype=np.int64)
-                j = j[differ <= (n[j] + n[i]) * (den - num) // (den + num)]
+                near = differ <= (n[j] + n[i]) * (den - num) // (den + num)
+                j, differ = j[near], differ[near]
                 # a pair that meets in a lesser entry is told there
-                j = j[np.array([min(named[i] & named[x], default=entry) >= entry for x in j], bool)]
-                out.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pa.table([pairs[:, 0], pairs[:, 1]], schema=schema)
+                here = np.array([min(named[i] & named[x], default=entry) >= entry for x in j], bool)
+                j, differ = j[here], differ[here]
+                more = len(j) > partners
+                if more:
+                    j = j[np.lexsort((node[j], differ))[:partners]]
+                out.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), np.full(len(j), more)], 1))
+        pairs = np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+        return pa.table([pairs[:, 0], pairs[:, 1], pairs[:, 2].astype(bool)], schema=schema)
 
     return work
 
@@ -431,10 +443,10 @@ def rarest(docs: DataFrame, nodes: DataFrame, k: int, num: int, den: int, key: i
     return found
 
 
-def across(crowd: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of nodes of an open entry that aren't in one component yet and that sketches don't rule out.
+def across(crowd: DataFrame, sets: DataFrame, num: int, den: int, partners: int) -> DataFrame:
+    """(a, b, more): pairs of nodes of an open entry that aren't in one component yet and that sketches don't rule out.
 
-    An entry with more than BLOCK nodes is cut in blocks of about that size, and a task gets two
+    Each node tells its ``partners`` likeliest ones in a block, and ``more`` if it has others. An entry with more than BLOCK nodes is cut in blocks of about that size, and a task gets two
     of them, so no task holds a whole large entry.
     """
     crowd = crowd.withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int")).drop("k")
@@ -443,8 +455,8 @@ def across(crowd: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     crowd = crowd.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     crowd = crowd.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     crowd = crowd.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    found = crowd.select("entry", "lo", "hi", "node", "comp", "n_shingles", "block", "sketch", "named").groupBy("entry", "lo", "hi").applyInArrow(lean_group(compare(num, den)), "a long, b long")
-    return found.distinct()
+    found = crowd.select("entry", "lo", "hi", "node", "comp", "n_shingles", "block", "sketch", "named").groupBy("entry", "lo", "hi").applyInArrow(lean_group(compare(num, den, partners)), "a long, b long, more boolean")
+    return found.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
 def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, doubled=None, ws: Workspace | None = None, key: int = 0) -> DataFrame:
@@ -473,13 +485,22 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     label = components(edges, ws, "first")
     crowd = ws.save(open_entries(crowd, label), "open")
     large = ws.save(crowd.where(F.col("k") > BLOCK).select("node").distinct(), "large")
+    crowd = crowd.where(F.col("k") <= BLOCK).select("entry", "node")
     if not large.isEmpty():
-        again = open_entries(rarest(docs, large, k, num, den, key, ws), label)
-        crowd = crowd.where(F.col("k") <= BLOCK).unionByName(again.select(crowd.columns))
-    rest = ws.save(across(crowd, sketches, num, den).join(met, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        more = verify(docs, rest, k, num, den, key, ws, "more")
-        label = components(edges.unionByName(more), ws, "second")
+        crowd = crowd.unionByName(rarest(docs, large, k, num, den, key, ws))
+    # a large group of similar sets falls into one component by a few links of each, so not all of its pairs are told
+    told = met
+    for turn in itertools.count():
+        rest = ws.save(across(open_entries(crowd, label), sketches, num, den, PARTNERS * MORE**turn), f"rest_{turn}")
+        if rest.isEmpty():
+            break
+        more = verify(docs, rest.select("a", "b").join(told, ["a", "b"], "left_anti"), k, num, den, key, ws, f"more_{turn}")
+        told = told.unionByName(rest.select("a", "b"))
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            label = components(edges, ws, f"turn_{turn}")
+        if rest.where("more").isEmpty():
+            break
     ids = ids.select("node", "least").join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = ids.groupBy("comp").agg(F.min("least").alias("component_id"))
     ids = ws.save(ids.join(least, "comp").select("node", "component_id"), "ids")

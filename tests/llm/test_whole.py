@@ -125,9 +125,36 @@ def test_common_passage_pairs_no_unlike_documents(spark, tmp_path, monkeypatch):
     told = []
     across = ngram_join.across
     monkeypatch.setattr(ngram_join, "across", lambda crowd, *x: told.append(crowd.where("k > 32").count()) or across(crowd, *x))
+    rarest = ngram_join.rarest
+    refined = []
+    monkeypatch.setattr(ngram_join, "rarest", lambda docs, nodes, *x: refined.append(nodes.count()) or rarest(docs, nodes, *x))
     got = ngram_join.op2_ngram_join(spark, d)
     assert sorted(map(tuple, got.collect()), key=str) == brute_components(documents(spark, d))
-    assert told == [0]
+    assert refined and refined[0] > 200 and not any(told)
+
+
+def test_family_in_a_crowd_tells_few_pairs(spark, tmp_path, monkeypatch):
+    """200 texts that differ from each other by a little, among 200 unlike ones with their passage: one component, far fewer than all pairs."""
+    import random
+
+    from tests.llm.test_brute import brute_components, documents
+
+    rng = random.Random(9)
+    passage, base = awkward.sentence(rng, 60), awkward.sentence(rng, 60).split()
+    rows = []
+    for i in range(200):
+        rows.append((2 * i, passage + " " + awkward.sentence(rng, 60), None, None, 0, *awkward.CLASH))
+        w = list(base)
+        for _ in range(2):
+            w[rng.randrange(60)] = f"v{rng.randrange(10)}"
+        rows.append((2 * i + 1, passage + " " + " ".join(w), None, None, 0, *awkward.CLASH))
+    d = awkward.write(spark, tmp_path, rows)
+    told = []
+    verify = ngram_join.verify
+    monkeypatch.setattr(ngram_join, "verify", lambda docs, pairs, *x: told.append(pairs.count()) or verify(docs, pairs, *x))
+    got = ngram_join.op2_ngram_join(spark, d)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_components(documents(spark, d))
+    assert sum(told) < 200 * 199 / 2 / 3
 
 
 def test_sample_is_of_rows_not_of_ids(spark):
