@@ -41,6 +41,8 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--output-dir", default="output")
     i.add_argument("--k", type=int)
     i.add_argument("--threshold", type=float)
+    i.add_argument("--frozen-threshold", action="store_true", help="the fixed threshold in place of the one saved with the model")
+    i.add_argument("--chunk-size", type=int, default=100000, help="accepted for scripts that pass it; Spark's partitions bound memory here")
     s = sub.add_parser("subsample")
     s.add_argument("--n-s1", type=int, default=5000)
     s.add_argument("--input-dir", default="dataset/train")
@@ -75,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
         for df in (done.summary, done.ranks, done.swept.orderBy("macro_f", ascending=False).limit(10), done.errors, done.importances.orderBy("splits", ascending=False).limit(10)):
             df.show(truncate=False)
     elif a.command == "infer":
-        pipelines.infer_files(spark, a.data_dir, a.model, a.output_dir, a.k, a.threshold)
+        pipelines.infer_files(spark, a.data_dir, a.model, a.output_dir, a.k, pipelines.FROZEN_THRESHOLD if a.threshold is None and a.frozen_threshold else a.threshold)
     elif a.command == "subsample":
         pipelines.subsample_files(spark, a.input_dir, a.output_dir, a.n_s1, a.seed)
     elif a.command == "block":

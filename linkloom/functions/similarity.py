@@ -130,7 +130,7 @@ def kernels(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataF
     """All kernels of a pair of texts in one pass between JVM and Python."""
     for a, b in batches:
         pairs = pd.DataFrame({"a": a.fillna(""), "b": b.fillna("")})
-        distinct = pairs.drop_duplicates()
+        distinct = pairs.drop_duplicates().copy()
         for k, f in KERNELS.items():
             distinct[k] = [f(x, y) for x, y in zip(distinct["a"], distinct["b"], strict=True)]
         yield pairs.merge(distinct, on=["a", "b"], how="left")[list(KERNELS)].set_axis(a.index)

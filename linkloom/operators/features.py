@@ -63,12 +63,13 @@ def relative_features(df: DataFrame, group: str = "source1_entity_id") -> DataFr
 
 
 def with_records(pairs: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
-    """Both records of each pair as structs ``a`` and ``b``; pairs without one fall out. Ids that repeat give their first row."""
+    """Both records of each pair as structs ``a`` and ``b``; pairs without one fall out. Of rows that repeat an id the first as read counts, in the pool that of the earlier source."""
     make_importable(pairs.sparkSession)
     pool = pool if "src_priority" in pool.columns else pool.withColumn("src_priority", F.lit(0))
     record = ["business_name", "business_address", "country", "name_norm", "addr_norm"]
-    a = first_by_id(normalized(s1), ["business_name", "business_address"]).select(F.col("entity_id").alias("source1_entity_id"), F.struct(*record).alias("a"))
-    b = first_by_id(normalized(pool), ["src_priority", "business_name", "business_address"]).select(F.col("entity_id").alias("candidate_entity_id"), F.struct(*record).alias("b"))
+    row = F.monotonically_increasing_id()
+    a = first_by_id(normalized(s1).withColumn("_row", row), ["_row"]).select(F.col("entity_id").alias("source1_entity_id"), F.struct(*record).alias("a"))
+    b = first_by_id(normalized(pool).withColumn("_row", row), ["src_priority", "_row"]).select(F.col("entity_id").alias("candidate_entity_id"), F.struct(*record).alias("b"))
     return pairs.join(a, "source1_entity_id").join(b, "candidate_entity_id")
 
 

@@ -21,6 +21,7 @@ from linkloom.operators import sampling as sp
 from linkloom.plans import fixtures as fx
 from linkloom.plans.fixtures import with_sql
 from linkloom.plans.pipelines import match_lists
+from linkloom.runtime import written
 from linkloom.sources.readers import erase_na
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -60,9 +61,13 @@ def candidates(spark, d) -> DataFrame:
     return bl.build_candidates(*fx.sources_a(spark, d))
 
 
-def scored(spark, d) -> DataFrame:
+def truth_table(spark, d) -> DataFrame:
+    return written(fx.truth_a(spark, d), "truth")
+
+
+def scored(spark, d, truth: DataFrame | None = None) -> DataFrame:
     """Labelled candidates with the fixed logistic scorer."""
-    lab = sp.label(candidates(spark, d), fx.truth_a(spark, d))
+    lab = sp.label(candidates(spark, d), fx.truth_a(spark, d) if truth is None else truth)
     return md.linear_scorer(lab, {"total_block_score": 0.06, "candidate_rank": -0.25}, -3.0).withColumn("proba", F.round("proba", 6))
 
 
@@ -473,8 +478,9 @@ def sweep_sql(tail: str) -> str:
 
 
 def swept(spark, d) -> DataFrame:
-    s = scored(spark, d)
-    return mt.sweep(s, fx.truth_a(spark, d), s.select(S1).distinct())
+    t = truth_table(spark, d)
+    s = written(scored(spark, d, t), "scored")
+    return mt.sweep(s, t, s.select(S1).distinct())
 
 
 @query(sweep_sql("select cast(threshold as double) as threshold, round(macro_f, 6) as macro_f, round(precision, 6) as precision, round(recall, 6) as recall from sw"))
@@ -484,8 +490,9 @@ def l5_threshold_sweep(spark, d):
 
 @query(sweep_sql("select round(macro_f, 6) as macro_f, round(precision, 6) as precision, round(recall, 6) as recall from sw where threshold = 0.5"))
 def l4_macro_f(spark, d):
-    s = scored(spark, d)
-    return mt.macro_f(s, fx.truth_a(spark, d), s.select(S1).distinct(), 0.5).withColumns(r6("macro_f", "precision", "recall"))
+    t = truth_table(spark, d)
+    s = written(scored(spark, d, t), "scored")
+    return mt.macro_f(s, t, s.select(S1).distinct(), 0.5).withColumns(r6("macro_f", "precision", "recall"))
 
 
 @query(sweep_sql("select cast(threshold as double) as threshold, round(macro_f, 6) as macro_f from sw order by round(macro_f, 9) desc, threshold limit 1"))
@@ -505,15 +512,16 @@ g as (select count(*) as singletons, count(*) filter (where source1_entity_id in
 select a.*, f.*, g.*, round((true_matches - blocking_misses) / greatest(true_matches, 1), 6) as blocking_recall, round(correct / greatest(true_matches - blocking_misses, 1), 6) as model_recall,
 round(correct / greatest(true_matches, 1), 6) as total_recall from a, f, g""").replace("\n, t as", ",\nt as"))
 def l6_attribution(spark, d):
-    s = scored(spark, d)
-    return mt.attribution(s, fx.truth_a(spark, d), s.select(S1).distinct(), 0.5).withColumns(r6("blocking_recall", "model_recall", "total_recall"))
+    t = truth_table(spark, d)
+    s = written(scored(spark, d, t), "scored")
+    return mt.attribution(s, t, s.select(S1).distinct(), 0.5).withColumns(r6("blocking_recall", "model_recall", "total_recall"))
 
 
 @query(with_sql("sco", """, s as (select proba, sum(label) as pos, count(*) as n from sco group by proba),
 c as (select *, sum(pos) over (order by proba desc) as cp, sum(n) over (order by proba desc) as cn, sum(pos) over () as p, sum(n - pos) over () as q from s)
 select round(sum(pos * (q - (cn - cp) + (n - pos) / 2.0)) / greatest(any_value(p) * any_value(q), 1), 6)::double as roc_auc, round(sum(pos * cp / cn) / greatest(any_value(p), 1), 6)::double as average_precision from c""").replace("\n, s as", ",\ns as"))
 def a16_a17_rank_metrics(spark, d):
-    return mt.rank_metrics(scored(spark, d)).withColumns(r6("roc_auc", "average_precision"))
+    return mt.rank_metrics(written(scored(spark, d), "scored")).withColumns(r6("roc_auc", "average_precision"))
 
 
 @query(with_sql("sco", "select entity_id as source1_entity_id, coalesce(string_agg(candidate_entity_id, ',' order by candidate_rank) filter (where proba >= 0.5), '') as matched_entity_ids from (select entity_id from ent where src = 0) left join sco on entity_id = source1_entity_id group by entity_id"))
@@ -526,7 +534,8 @@ def l1_l3_boosted_trees(spark, d):
     """Probabilities of the held-out records by trees fitted on the others; features without the Python measures."""
     s1, s2, s3 = fx.sources_a(spark, d)
     pairs = sp.sample_hard_negatives(bl.build_candidates(s1, s2, s3), fx.truth_a(spark, d))
-    split = sp.grouped_split(ft.compute_features(pairs, s1, s2, s3, with_kernels=False)).persist()
+    feats = written(ft.compute_features(pairs, s1, s2, s3, with_kernels=False), "features")
+    split = written(sp.grouped_split(feats), "split")
     if split.where("label = 1 and not is_val").isEmpty():
         return split.where("is_val").select(S1, C, "label", F.lit(0.0).alias("proba"))
     fitted = md.fit(split, rounds=5, validation="is_val")

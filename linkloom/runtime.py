@@ -1,10 +1,14 @@
-"""Makes this package importable in Python workers, wherever the driver was started."""
+"""What operators need of the cluster: this package on the workers' path, and tables written once in the shared folder."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -15,3 +19,34 @@ def make_importable(spark: SparkSession) -> None:
     have = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in have:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, have)])
+
+
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the folder that ``spark.checkpoint.dir`` names: what is read more than once is computed once, and outlives executors."""
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is unset: working tables need a folder that driver and executors share")
+        if not hasattr(written, "own"):
+            written.own = tempfile.mkdtemp(prefix="linkloom-")
+            atexit.register(shutil.rmtree, written.own, True)
+        shared = f"file://{written.own}"
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _WRITTEN:
+        try:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # the JVM has gone: the folder's owner clears it
+            pass

@@ -96,3 +96,14 @@ def test_macro_f_cases(spark):
 def test_environment():
     env = cli.environment({"MACHINE_COUNT": "3", "MACHINE_ID": "9", "S1_CHUNK_SIZE": "x", "DISTRIBUTED_MODE": "Yes"})
     assert (env["enabled"], env["machine_id"], env["machine_count"], env["chunk_size"]) == (True, 2, 3, 25000)
+
+
+def test_first_row_of_equal_ids(spark):
+    """The first as read, whatever its name; in the pool the earlier source's."""
+    from linkloom.operators import features as ft
+
+    schema = "entity_id string, business_name string, business_address string, country string"
+    rows = lambda *names: spark.createDataFrame([("x", n, "", "c") for n in names], schema).coalesce(1)
+    pool = rows("zulu", "mike").withColumn("src_priority", F.lit(1)).unionByName(rows("yankee", "bravo").withColumn("src_priority", F.lit(0)))
+    [r] = ft.with_records(spark.createDataFrame([("x", "x")], "source1_entity_id string, candidate_entity_id string"), rows("zeta", "alpha"), pool).collect()
+    assert (r["a"]["business_name"], r["b"]["business_name"]) == ("zeta", "yankee")
