@@ -21,4 +21,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op3_mixing": mixing.OP3_SQL, "op5_exact_dedup": dedup.OP5_SQL, "op7_quality_rules": quality.OP7_SQL}
+    return {"op3_mixing": mixing.OP3_SQL, "op5_exact_dedup": dedup.OP5_SQL, "op7_quality_rules": quality.OP7_SQL, "op8_sharding": sharding.OP8_SQL}

@@ -41,3 +41,22 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = shard_by_bytes(docs, "size", 24, [F.col("same"), F.col("doc_id")], Workspace(spark, "sharding"), group="same")
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: The 256 entries of the checksum's table come from its rule; a text's bytes are then folded one by one.
+OP8_SQL = r"""
+with recursive entry(i, c, k) as (
+    select i, i, 0 from range(256) r(i)
+    union all
+    select i, case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, k + 1 from entry where k < 8),
+entries as (select list(c order by i) as e from entry where k = 8),
+sized as (select doc_id, coalesce(text, '') as t, strlen(coalesce(text, '')) + 8 as size, md5(coalesce(text, '')) as same from documents),
+placed as (select *, row_number() over w - 1 as row, sum(size) over w - size as before, sum(size) over () as total from sized window w as (order by same, doc_id nulls first rows unbounded preceding)),
+cut as (select *, least(23, floor((before + size / 2) * 24 / total)) as own from placed),
+grouped as (select *, min(own) over g as lo, max(own) over g as hi, sum(size) over g as whole, min(before) over g as start from cut window g as (partition by same)),
+dealt as (select *, case when lo < hi and whole <= 0.01 * total / 24 then least(23, floor((start + whole / 2) * 24 / total)) else own end as shard from grouped)
+select doc_id, size::bigint as size,
+    xor(coalesce(list_reduce(list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: ('0x' || h)::bigint), lambda s, b: xor(s // 256, e[xor(s % 256, b) + 1]), 4294967295::bigint), 4294967295::bigint), 4294967295::bigint) as text_crc32,
+    'bytes' as law, shard::int as shard, (row - min(row) over (partition by shard))::bigint as slot, null::int as grown_shard
+from dealt, entries
+"""
