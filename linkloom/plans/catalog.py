@@ -372,10 +372,54 @@ def m1_ratio(spark, d):
     return both.select("a", "b", sim.lcs_length("a", "b").cast("int").alias("lcs"), F.round(sim.kernels("a", "b")["ratio"], 6).alias("ratio"))
 
 
-@query(None)
+#: Of ``pr`` (a_id, b_id, a, b): words in order and without repeats, what both sides share, the windows of a partial
+#: ratio, and subsequences by one bit per character (62 at most) of the first text.
+_TOKEN_RATIOS = r"""
+w as (select *, list_filter(regexp_split_to_array(a, '\s+'), lambda t: t <> '') as wa, list_filter(regexp_split_to_array(b, '\s+'), lambda t: t <> '') as wb from pr),
+d as (select *, list_sort(list_distinct(wa)) as da, list_sort(list_distinct(wb)) as db from w),
+t as (select *, array_to_string(list_sort(wa), ' ') as sa, array_to_string(list_sort(wb), ' ') as sb, array_to_string(da, ' ') as ua, array_to_string(db, ' ') as ub,
+    array_to_string(list_filter(da, lambda t: not list_contains(db, t)), ' ') as oa, array_to_string(list_filter(db, lambda t: not list_contains(da, t)), ' ') as ob,
+    length(array_to_string(list_filter(da, lambda t: list_contains(db, t)), ' ')) as s, greatest(length(a), length(b)) / least(length(a), length(b)) as q from d),
+part as (select a as x, b as y from t where q >= 1.5 union select sa, sb from t where q >= 1.5 and s = 0 union select ua, ub from t where q >= 1.5 and s = 0),
+side as (select x, y, x as sh, y as lo from part where length(x) <= length(y) union select x, y, y, x from part where length(y) <= length(x)),
+win as (select x, y, sh, substr(lo, i::bigint, length(sh)) as v from (select *, unnest(range(1, length(lo) - length(sh) + 2)) as i from side)
+    union select x, y, sh, left(lo, i::bigint) from (select *, unnest(range(1, length(sh))) as i from side)
+    union select x, y, sh, right(lo, i::bigint) from (select *, unnest(range(1, length(sh))) as i from side)),
+need as (select a as x, b as y from t union select sa, sb from t union select oa, ob from t union select sh, v from win),
+bits as (select x, y, (1::bigint << length(x)) - 1 as f, list_transform(string_split(y, ''), lambda c: list_sum(list_transform(range(length(x)), lambda i: case when substr(x, i + 1, 1) = c then 1::bigint << i::int else 0 end))::bigint) as m
+    from need where x <> '' and y <> ''),
+sub as (select x, y, length(x) - bit_count(list_reduce(m, lambda r, h: ((r + (r & h)) | (r - (r & h))) & f, f)) as n from bits),
+rat as (select x, y, case when length(x) + length(y) = 0 then 100.0 else 200.0 * coalesce(n, 0) / (length(x) + length(y)) end::double as r, length(x) + length(y) - 2 * coalesce(n, 0) as gap from need left join sub using (x, y)),
+best as (select win.x, win.y, max(r) as r from win join rat on rat.x = sh and rat.y = v group by all),
+k as (select t.*, r0.r as plain, r1.r as token_sort, r2.gap as gap, case when s > 0 then 1 else 0 end as g,
+    coalesce(p0.r, 0) as p0, case when s > 0 then 100.0 else greatest(coalesce(p1.r, 0), coalesce(p2.r, 0)) end as p1 from t
+    join rat r0 on r0.x = a and r0.y = b join rat r1 on r1.x = sa and r1.y = sb join rat r2 on r2.x = oa and r2.y = ob
+    left join best p0 on p0.x = a and p0.y = b left join best p1 on p1.x = sa and p1.y = sb left join best p2 on p2.x = ua and p2.y = ub),
+z as (select *, case when len(da) = 0 or len(db) = 0 then 0.0 when s > 0 and (oa = '' or ob = '') then 100.0 else greatest(
+    100 * (1 - gap / (2 * (s + g) + length(oa) + length(ob))),
+    case when s > 0 then 100 * (1 - (1 + length(oa)) / (2 * s + 1 + length(oa))) else 0 end,
+    case when s > 0 then 100 * (1 - (1 + length(ob)) / (2 * s + 1 + length(ob))) else 0 end) end as token_set from k)
+select a_id, b_id, round(token_sort, 6)::double as token_sort, round(token_set, 6)::double as token_set, round(case when a = '' or b = '' then 0
+    when q < 1.5 then greatest(plain, 0.95 * greatest(token_sort, token_set))
+    when q <= 8 then greatest(plain, 0.9 * p0, 0.95 * 0.9 * p1) else greatest(plain, 0.6 * p0, 0.95 * 0.6 * p1) end, 6)::double as w_ratio from z"""
+
+
+def token_ratios(pairs: DataFrame) -> DataFrame:
+    """Token ratios of (a_id, b_id, a, b)."""
+    return pairs.select("a_id", "b_id", sim.kernels("a", "b").alias("k")).select("a_id", "b_id", *[F.round(f"k.{x}", 6).alias(x) for x in ("token_sort", "token_set", "w_ratio")])
+
+
+@query(with_sql("bp", ",\npr as (select a_id, b_id, a_addr as a, b_addr as b from bp)," + _TOKEN_RATIOS))
 def m2_m3_m4_token_ratios(spark, d):
-    k = sim.kernels("a_addr", "b_addr")
-    return pairs_b(spark, d).select("a_id", "b_id", k.alias("k")).select("a_id", "b_id", *[F.round(f"k.{x}", 6).alias(x) for x in ("token_sort", "token_set", "w_ratio")])
+    return token_ratios(pairs_b(spark, d).select("a_id", "b_id", F.col("a_addr").alias("a"), F.col("b_addr").alias("b")))
+
+
+@query("with pr as (select x.n_name as a_id, y.n_name as b_id, replace(lower(x.n_name), 'a', ' ') as a, lower(y.n_name) as b from nation x, nation y)," + _TOKEN_RATIOS)
+def m2_m3_m4_short_names(spark, d):
+    """Texts of unlike lengths, mostly without a shared word: the ways through partial ratios."""
+    n = fx.table(spark, d, "nation").select("n_name")
+    both = n.select(F.col("n_name").alias("a_id")).crossJoin(n.select(F.col("n_name").alias("b_id")))  # 25 nations
+    return token_ratios(both.select("a_id", "b_id", F.translate(F.lower("a_id"), "a", " ").alias("a"), F.lower("b_id").alias("b")))
 
 
 _UA, _UB, _NA, _NB = (x.replace("business_address", c) for x in (_CLEAN_UNITS, _NUMBERS) for c in ("a_addr", "b_addr"))
