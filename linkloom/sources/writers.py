@@ -62,7 +62,8 @@ def write_chunks(s1: DataFrame, s2: DataFrame, s3: DataFrame, folder: str, machi
             continue
         began = time.time()
         ids = dealt.where(F.col("chunk_id") == r["chunk_id"]).select("country", "entity_id")
-        write_table(build_candidates(s1.join(ids, ["country", "entity_id"], "left_semi"), s2, s3, config), path)
+        own, pool2, pool3 = (df.where(F.col("country") == r["country"]) for df in (s1, s2, s3))  # weights are counted by country
+        write_table(build_candidates(own.join(ids, ["country", "entity_id"], "left_semi"), pool2, pool3, config), path)
         manifest.append(row | {"status": "complete", "candidate_rows": spark.read.parquet(path).count(), "seconds": round(time.time() - began, 3)})
     schema = "country string, chunk_id long, machine_id int, rows long, candidate_rows long, status string, seconds double, path string"
     out = spark.createDataFrame([tuple(x[c.split()[0]] for c in schema.split(", ")) for x in manifest], schema)
