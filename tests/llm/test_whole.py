@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from linkloom.llm import langid, lm, ngram_join
+from linkloom.llm import dedup, langid, lm, ngram_join
 from tests.llm import awkward
 from tests.llm.test_brute import LOWER, WORD
 
@@ -164,3 +164,15 @@ def test_sample_is_of_rows_not_of_ids(spark):
     got = [r["text"] for r in langid.sample_labelled(docs, 400, 25600, 99).collect()]
     assert len(got) == len(set(got)) == 400
     assert got and sorted(got) == sorted(r["text"] for r in langid.sample_labelled(docs.repartition(5), 400, 25600, 99).collect())
+
+
+def test_held_out_texts_score_above_the_base(spark):
+    rows = lm.op6_lm_scoring(spark, "/root/testdata/sf0.001").where("held_out").collect()
+    assert len(rows) > 20 and sum(r["score"] for r in rows) > 0.95 * sum(r["base_score"] for r in rows)  # both are negative
+
+
+def test_dedup_stage_keeps_one_row_of_each_text(spark, tmp_path):
+    docs = spark.read.parquet(f"{awkward.write(spark, tmp_path)}/documents.parquet")
+    kept = dedup.dedup_stage(docs)
+    bare = lambda t: "".join(WORD.findall(t or ""))
+    assert sorted(bare(r["text"]) for r in kept.collect()) == sorted({bare(r[1]) for r in awkward.rows()})
