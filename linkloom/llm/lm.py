@@ -1,17 +1,22 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Training texts are counted as words and word pairs, over all of them. An n-gram seen c times
+Training texts are counted as words, pairs and triples of words, over all of them. An n-gram seen c times
 enters the filter with the levels 1 ... 1 + floor(log_b c); a reader probes level by level until
 one is missing and takes the middle of the last level's range as the count. The filter has one
 block per bucket of n-gram hashes, of so many bits a level that was counted there: it grows with
 the n-grams and errs no more often at any size. Its blocks never meet in one place. Texts are
-taken in groups of about a million tokens; a group sends each bucket its distinct words and
-pairs once, with their counts in training texts; the bucket sums them, fills its block, answers
+taken in groups of about a million tokens; a group sends each bucket its distinct n-grams
+once, with their counts in training texts; the bucket sums them, fills its block, answers
 from it, and the answers meet the group's tokens again.
 
-P(w | u) = (1 - pull) * (c(w) + 0.5) / (N + 0.5 * (V + 1)) + pull * min(1, c(u w) / c(u))
+P(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1)),  P(w | u) = (c(u w) + a P(w)) / (c(u) + a),
+P(w | t u) = (c(t u w) + b P(w | u)) / (c(t u) + b)
 
-with counts from the filter; the score of a text adds log10 P over its words and one end.
+with counts from the filter, none above its context's; the score of a text adds log10 P over its
+words and one end. The first word follows an end and has no triple. Of the pairs (a, b) in
+``WEIGHTS`` that one is taken under which all training texts are likeliest when each token is
+left out of the counts it is judged by; so every group scores its texts under each pair, and the
+choice is made between columns.
 
 The base score needs exact counts, which lie beside the bucket's block and come with its answer.
 So no bucket holds a row per use of a common word, and the driver gathers two totals only.
@@ -35,14 +40,16 @@ from linkloom.llm.shared import Workspace, estimated_bytes, lean_group, lean_map
 from linkloom.llm.tokens import U, mix, word_slices
 
 END = U(0x5851F42D4C957F2D)
-LEVEL, PROBE = U(0x9FB21C651E98DF25), U(0xD1342543DE82EF95)
+LEVEL, PROBE, THIRD = U(0x9FB21C651E98DF25), U(0xD1342543DE82EF95), U(0xA0761D6478BD642F)
 #: Tokens of a group of texts that asks together, and n-grams that a bucket looks up together.
 GROUP, TOGETHER = 1 << 20, 1 << 19
+#: Pseudo-counts (a, b) of the shorter context, for pairs and for triples.
+WEIGHTS = [(a, b) for a in (2.0, 12.0, 72.0) for b in (2.0, 12.0, 72.0)]
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Buckets (blocks), bits of the filter (None: by what is counted), probes a level, base of the levels, least count of pairs, weight of pairs, bits a level.
+    """Buckets (blocks), bits of the filter (None: by what is counted), probes a level, base of the levels, bits a level.
 
     With 16 bits and 3 probes a level that isn't there passes 0.5 % of the time.
     """
@@ -51,8 +58,6 @@ class Shape:
     bits: int | None = None
     probes: int = 3
     base: float = 1.5
-    least_pair: int = 1
-    pull: float = 0.1
     level_bits: int = 16
 
     @property
@@ -79,6 +84,16 @@ def pairs_of(h: np.ndarray, at: np.ndarray) -> np.ndarray:
         return mix(before * PROBE + h)
 
 
+def grams_of(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs, then triples, of all tokens; which tokens have a triple (all but the first of a text)."""
+    pairs = pairs_of(h, at)
+    inner = np.ones(len(h), bool)
+    inner[at[:-1]] = False
+    i = np.flatnonzero(inner)
+    with np.errstate(over="ignore"):
+        return np.concatenate([pairs, mix(pairs[i - 1] * THIRD + h[i])]), i
+
+
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return (((h >> U(32)) * U(buckets)) >> U(32)).astype(np.int32)
 
@@ -170,15 +185,16 @@ _ASKED = _COUNTS.append(pa.field("batch", pa.int64()))
 
 
 def ask_rows(shape: Shape):
-    """mapInArrow: by group and bucket the distinct words and pairs, with their counts in training texts (0: asked only)."""
+    """mapInArrow: by group and bucket the distinct words and longer n-grams ("pairs"), with their counts in training texts (0: asked only)."""
 
     def rows(batches):
         for batch, h, at, _, held in groups(batches):
             train = np.repeat(~np.array(held.to_pylist(), bool), np.diff(at))
+            grams, inner = grams_of(h, at)
             of = {}
-            for place, x in enumerate((h, pairs_of(h, at))):
+            for place, (x, counted) in enumerate(((h, train), (grams, np.concatenate([train, train[inner]])))):
                 kind, back = np.unique(x, return_inverse=True)
-                n = np.bincount(back[train], minlength=len(kind)).astype("<u4")
+                n = np.bincount(back[counted], minlength=len(kind)).astype("<u4")
                 for b, i, j in split(bucket_of(kind, shape.buckets)):
                     k = kind[i:j].astype("<u8")
                     of.setdefault(b, [b"", b"", b"", b""])[2 * place : 2 * place + 2] = [(k & U(0xFFFFFFFF)).astype("<u4").tobytes(), pack(n[i:j])] if place else [k.tobytes(), n[i:j].tobytes()]
@@ -207,7 +223,7 @@ def block_of(shape: Shape):
         words, counts = total(np.concatenate(read("words", "<u8")), np.concatenate(read("word_counts", "<u4")).astype(np.int64))
         words, counts = words[counts > 0], counts[counts > 0]
         pairs, n = total(np.concatenate(read("pairs", "<u4")), np.concatenate([unpack(x, "<u4") for x in table["pair_counts"].to_pylist()]).astype(np.int64))
-        keep = n >= shape.least_pair
+        keep = n > 0
         low, n = np.concatenate([(words & U(0xFFFFFFFF)).astype("<u4"), pairs[keep]]), np.concatenate([counts, n[keep]])
         level = level_of(n, shape.base) if len(n) else n
         block = shape.block_for(int(level.sum()))
@@ -273,36 +289,55 @@ def text_rows(batches):
         yield pa.RecordBatch.from_pylist([dict(zip(_TEXTS.names, row, strict=True))], schema=_TEXTS)
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-_SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), *[(c, pa.int64()) for c in ("n_tokens", "n_known", "train_tokens")], ("base_score", pa.float64()), ("score", pa.float64())])
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, scores array<double>, left_out array<double>"
+_SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), *[(c, pa.int64()) for c in ("n_tokens", "n_known", "train_tokens")], ("base_score", pa.float64()), ("scores", pa.list_(pa.float64())), ("left_out", pa.list_(pa.float64()))])
+
+
+def log_likelihoods(contexts: list[tuple[np.ndarray, np.ndarray]], norm: float, less: int):
+    """log10 P of each token under each of ``WEIGHTS``; ``contexts``: counts of the n-gram and of its context, for pairs and triples, after the word's.
+
+    ``less``: 1 leaves the token itself out of all counts.
+    """
+    counts = [(np.maximum(np.minimum(n, of) - less, 0), np.maximum(of - less, 0)) for n, of in contexts]
+    one = (counts[0][0] + 0.5) / (norm - less)
+    seen: dict[float, np.ndarray] = {}
+    for a, b in WEIGHTS:
+        if a not in seen:
+            seen = {a: (counts[1][0] + a * one) / (counts[1][1] + a)}
+        yield np.log10((counts[2][0] + b * seen[a]) / (counts[2][1] + b))
 
 
 def score_groups(shape: Shape, tokens: int, kinds: int):
-    """applyInArrow by batch: scores of a group's texts from its tokens and the buckets' answers."""
+    """applyInArrow by batch: scores of a group's texts under each of ``WEIGHTS``, from its tokens and the buckets' answers; a last row has the sums that decide between them."""
 
     def work(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         [texts] = [r for r in rows if r["bucket"] is None]
         told = sorted((r for r in rows if r["bucket"] is not None), key=lambda r: r["bucket"])  # the order of the hashes
-        count, level, pair_level = (np.concatenate([unpack(r[c], t) for r in told]) for c, t in (("counts", "<i8"), ("levels", np.uint8), ("pair_levels", np.uint8)))
+        count, level, gram_level = (np.concatenate([unpack(r[c], t) for r in told]) for c, t in (("counts", "<i8"), ("levels", np.uint8), ("pair_levels", np.uint8)))
         kind, at = np.frombuffer(texts["words"], "<u8"), unpack(texts["ends"], "<i8")
         back = unpack(texts["tokens"], "<u4")
-        pair, pair_back = np.unique(pairs_of(kind[back], at), return_inverse=True)
-        if len(count) != len(kind) or len(pair_level) != len(pair):
+        grams, inner = grams_of(kind[back], at)
+        gram, gram_back = np.unique(grams, return_inverse=True)
+        if len(count) != len(kind) or len(gram_level) != len(gram):
             raise RuntimeError("the input was read in other groups than before")
         summed = lambda x: np.add.reduceat(x, at[:-1])  # noqa: E731 - every text has its end token
-        norm = tokens + 0.5 * (kinds + 1)
+        norm, n = tokens + 0.5 * (kinds + 1), np.diff(at)
         c = value_of(level.astype(np.int64), shape.base)
-        both, here = value_of(pair_level.astype(np.int64), shape.base)[pair_back], c[back]
-        before = np.empty_like(here)
+        longer = value_of(gram_level.astype(np.int64), shape.base)[gram_back]
+        here, pair = c[back], longer[: len(back)]
+        before, triple, of_triple = np.empty_like(here), np.zeros_like(here), np.zeros_like(here)
         before[1:] = here[:-1]
         before[at[:-1]] = c[np.searchsorted(kind, END)]
-        follows = np.minimum(1.0, np.divide(both, before, out=np.zeros_like(both), where=before > 0))
-        score = summed(np.log10((1 - shape.pull) * (here + 0.5) / norm + shape.pull * follows))
+        triple[inner], of_triple[inner] = longer[len(back) :], pair[inner - 1]
+        counts = [(here, here), (pair, before), (triple, of_triple)]
+        scores = np.stack([summed(x) for x in log_likelihoods(counts, norm, 0)], axis=1)
+        train = np.repeat(~np.array(texts["held"], bool), n)
+        left_out = [float(x.sum()) for x in log_likelihoods([(x[train], y[train]) for x, y in counts], norm, 1)] if train.any() else None
         base = summed(np.log10((count + 0.5) / norm)[back])
-        n = np.diff(at)
-        columns = (texts["ids"], texts["held"], n, summed((count > 0).astype(np.int64)[back]), np.full(len(n), tokens), base, score)
-        return pa.table([pa.array(x, t) for x, t in zip(columns, _SCORED.types, strict=True)], schema=_SCORED)
+        columns = (texts["ids"], texts["held"], n, summed((count > 0).astype(np.int64)[back]), np.full(len(n), tokens), base, list(scores), [None] * len(n))
+        sums = pa.table([pa.array([x], t) for x, t in zip((*[None] * 7, left_out), _SCORED.types, strict=True)], schema=_SCORED)
+        return pa.concat_tables([pa.table([pa.array(x, t) for x, t in zip(columns, _SCORED.types, strict=True)], schema=_SCORED), sums])
 
     return work
 
@@ -311,7 +346,7 @@ def score_texts(docs: DataFrame, held_out) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     ws = Workspace(spark, "lm")
-    shape = Shape(int(min(max(estimated_bytes(docs) // (8 << 20), 12), 1 << 14)))
+    shape = Shape(int(min(max(estimated_bytes(docs) // (4 << 20), 12), 1 << 16)))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
 
     asked = docs.mapInArrow(lean_map(ask_rows(shape)), ASKED)
@@ -319,7 +354,12 @@ def score_texts(docs: DataFrame, held_out) -> DataFrame:
     tokens, kinds = (x or 0 for x in answers.agg(F.sum("train_tokens"), F.sum("train_kinds")).first())
     texts = docs.mapInArrow(lean_map(text_rows), TEXTS)
     answers = answers.where("batch is not null").drop("train_tokens", "train_kinds")
-    return texts.unionByName(answers, allowMissingColumns=True).groupBy("batch").applyInArrow(lean_group(score_groups(shape, tokens, kinds)), SCORED)
+    both = texts.unionByName(answers, allowMissingColumns=True)
+    scored = ws.save(both.groupBy("batch").applyInArrow(lean_group(score_groups(shape, tokens, kinds)), SCORED), "scored")
+    ws.drop("answers")
+    sums = scored.agg(*[F.sum(F.col("left_out")[i]) for i in range(len(WEIGHTS))]).first()
+    best = max(range(len(WEIGHTS)), key=lambda i: sums[i] if sums[i] is not None else -i)  # without training texts the first
+    return scored.where("n_tokens is not null").select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", F.col("scores")[best].alias("score"))
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

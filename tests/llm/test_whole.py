@@ -47,25 +47,55 @@ def test_filter_grows_with_what_is_counted():
 
 @pytest.mark.parametrize("group", [1 << 20, 500])
 def test_scores_come_from_all_counts(spark, tmp_path, monkeypatch, group):
-    """Scores are those of exact levels of all words and pairs, single pairs among them, but for one false level in 200."""
+    """Scores are those of exact levels of all words, pairs and triples, single ones among them, but for one false level in 200, under the weights that suit the training texts."""
     monkeypatch.setattr(lm, "GROUP", group)
     d = awkward.write(spark, tmp_path)
     rows = lm.op6_lm_scoring(spark, d).collect()
     docs = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
-    words = [(i, [*WORD.findall((t or "").translate(LOWER)), None]) for i, t in docs]
-    pairs = lambda t: zip([None, *t[:-1]], t, strict=True)
-    c = collections.Counter(w for i, t in words if not held(i) for w in t)
-    both = collections.Counter(p for i, t in words if not held(i) for p in pairs(t))
-    value = lambda n: float(lm.value_of(lm.level_of(np.array([n]), 1.5), 1.5)[0]) if n else 0.0
-    norm = sum(c.values()) + 0.5 * (len(c) + 1)
-    p = lambda u, w: 0.9 * (value(c[w]) + 0.5) / norm + 0.1 * min(1.0, value(both[u, w]) / max(value(c[u]), 1e-9))
-    want = sorted((str(i), sum(math.log10(p(u, w)) for u, w in pairs(t)) / len(t)) for i, t in words)
+    words = [(i, [None, *WORD.findall((t or "").translate(LOWER)), None]) for i, t in docs]
+    c = collections.Counter(tuple(t[j - n + 1 : j + 1]) for i, t in words if not held(i) for j in range(1, len(t)) for n in (1, 2, 3) if j - n + 1 >= 0)
+    value = lambda g: float(lm.value_of(lm.level_of(np.array([c[g]]), 1.5), 1.5)[0]) if c[g] else 0.0
+    n, v = sum(k for g, k in c.items() if len(g) == 1), sum(len(g) == 1 for g in c)
+
+    def p(t, j, a, b, less):
+        out = (max(value((t[j],)) - less, 0) + 0.5) / (n + 0.5 * (v + 1) - less)
+        for size, mu in ((2, a), (3, b)):
+            if j - size + 1 >= 0:
+                gram = tuple(t[j - size + 1 : j + 1])
+                of = value(gram[:-1])
+                out = (max(min(value(gram), of) - less, 0) + mu * out) / (max(of - less, 0) + mu)
+        return math.log10(out)
+
+    fit = [sum(p(t, j, a, b, 1) for i, t in words if not held(i) for j in range(1, len(t))) for a, b in lm.WEIGHTS]
+    a, b = lm.WEIGHTS[int(np.argmax(fit))]
+    want = sorted((str(i), sum(p(t, j, a, b, 0) for j in range(1, len(t))) / (len(t) - 1)) for i, t in words)
     got = sorted((str(r["doc_id"]), r["score"] / r["n_tokens"]) for r in rows)
     assert [i for i, _ in got] == [i for i, _ in want]
     assert np.mean([abs(x - y) < 0.02 * abs(y) for (_, x), (_, y) in zip(got, want, strict=True)]) > 0.9
 
 
+def test_probabilities_of_a_context_add_up_to_one():
+    """All followers of a context, at its counts, and words never seen there."""
+    word, pair, triple = np.array([6.0, 3, 1, 0]), np.array([4.0, 2, 0, 0]), np.array([2.0, 0, 0, 0])
+    norm = 10 + 0.5 * 4  # four words, the last of them unknown
+    for x in lm.log_likelihoods([(word, word), (pair, np.full(4, 6.0)), (triple, np.full(4, 2.0))], norm, 0):
+        assert math.isclose(sum(10**x), 1.0)
+
+
+def test_doubled_texts_score_above_single_ones(spark, tmp_path):
+    """Texts of one make, a fifth of them twice."""
+    rng = np.random.default_rng(4)
+    text = lambda: " ".join(f"w{w}" for w in rng.zipf(1.3, 120) % 5000)
+    texts = [text() for _ in range(400)]
+    rows = [(i, t, None, None, 0, *awkward.CLASH) for i, t in enumerate([*texts, *texts[:80]])]
+    got = {r["doc_id"]: r["score"] / r["n_tokens"] for r in lm.op6_lm_scoring(spark, awkward.write(spark, tmp_path, rows)).collect()}
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    twice = [got[i] for i in range(80) if not held(i) and not held(400 + i)]
+    once = [got[i] for i in range(80, 400) if not held(i)]
+    assert len(twice) > 30 and np.mean(np.array(twice) > np.quantile(once, 0.95)) > 0.95
+
+
 @pytest.mark.parametrize("n, places", [(51, [25]), (100, [30, 60])])
 def test_stage_drops_borderline_near_copies(spark, n, places):
     """0.8 or more by five words, less than 0.85 by four."""
