@@ -2,8 +2,8 @@
 
 Records A come from ``documents``: words 1-6 of a text are a name, 7-18 an address, its language
 a country, and the id modulo 3 the source. Records B come from ``customer`` and ``supplier``.
-True matches are pairs of a source-1 and a pool record of one country whose texts' first 60
-words have 3-word shingle sets with a similarity of 0.6 or more.
+True matches are pairs of a source-1 and a pool record of one country whose whole texts
+have 3-word shingle sets with a similarity of 0.6 or more.
 """
 
 from __future__ import annotations
@@ -48,11 +48,11 @@ def records_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truth_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source1_entity_id, candidate_entity_id)."""
-    w = words_a(spark, sf_dir).select("entity_id", "src", "country", F.slice("w", 1, 60).alias("w"))
+    """(source1_entity_id, candidate_entity_id); shingles meet as 64-bit hashes."""
+    w = words_a(spark, sf_dir).select("entity_id", "src", "country", "w")
     n = F.greatest(F.size("w") - 2, F.lit(0))
     zipped = F.arrays_zip(F.slice("w", 1, n).alias("a"), F.slice("w", 2, n).alias("b"), F.slice("w", 3, n).alias("c"))
-    sets = w.select("entity_id", "src", "country", F.array_distinct(F.transform(zipped, lambda x: F.concat_ws(" ", x["a"], x["b"], x["c"]))).alias("g"))
+    sets = w.select("entity_id", "src", "country", F.array_distinct(F.transform(zipped, lambda x: F.xxhash64(x["a"], x["b"], x["c"]))).alias("g"))
     g = sets.select("entity_id", "src", "country", F.size("g").alias("n"), F.explode("g").alias("g"))
     a = g.where("src = 0").select("country", "g", F.col("entity_id").alias("source1_entity_id"), F.col("n").alias("na"))
     b = g.where("src > 0").select("country", "g", F.col("entity_id").alias("candidate_entity_id"), F.col("n").alias("nb"))
@@ -88,7 +88,7 @@ SQL = {
         round(prefix_idf_score, 6) as prefix_idf_score, total_block_score, rn - 1 as candidate_rank
         from (select *, row_number() over (partition by source1_entity_id order by total_block_score desc, candidate_entity_id) as rn
           from (select *, round(1.5 * name_idf_score + 1.5 * address_idf_score + prefix_idf_score, 6) as total_block_score from ps)) where rn <= 50""",
-    "gram": "select entity_id, src, country, unnest(list_distinct(list_transform(range(1, least(len(w), 60) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as g from w where len(w) > 2",
+    "gram": "select entity_id, src, country, unnest(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as g from w where len(w) > 2",
     "gn": "select entity_id, count(*) as n from gram group by entity_id",
     "truth": """select a.entity_id as source1_entity_id, b.entity_id as candidate_entity_id from gram a join gram b using (country, g) join gn na on na.entity_id = a.entity_id
         join gn nb on nb.entity_id = b.entity_id where a.src = 0 and b.src > 0 group by a.entity_id, b.entity_id, na.n, nb.n having count(*) >= 0.6 * (na.n + nb.n - count(*))""",
