@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions.similarity import KERNELS, kernels, text_features
-from linkloom.functions.text import first_number, numbers, units
+from linkloom.functions.text import address_parts
 from linkloom.operators.blocking import SCORES, normalized, pool_of
 from linkloom.runtime import make_importable
 
@@ -29,7 +29,12 @@ def flag(c: Column) -> Column:
 
 def address_features(a: Column, b: Column) -> dict[str, Column]:
     """From raw addresses."""
-    ua, ub, na, nb, fa, fb = units(a), units(b), numbers(a), numbers(b), first_number(a), first_number(b)
+    return part_features(address_parts(a), address_parts(b))
+
+
+def part_features(a: Column, b: Column) -> dict[str, Column]:
+    """From ``address_parts``."""
+    ua, ub, na, nb, fa, fb = a["units"], b["units"], a["numbers"], b["numbers"], a["first_number"], b["first_number"]
     has_units = (F.size(ua) > 0) & (F.size(ub) > 0)
     both, either = F.size(F.array_intersect(na, nb)), F.size(F.array_union(na, nb))
     return {
