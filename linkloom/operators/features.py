@@ -78,20 +78,15 @@ def with_records(pairs: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
     return pairs.join(a, "source1_entity_id").join(b, "candidate_entity_id")
 
 
-def compute_features(pairs: DataFrame, s1: DataFrame, s2: DataFrame, s3: DataFrame, with_kernels: bool = True) -> DataFrame:
+def compute_features(pairs: DataFrame, s1: DataFrame, s2: DataFrame, s3: DataFrame) -> DataFrame:
     """The 36 features of each pair, in their order, after the ids; ``label`` stays if there is one.
 
-    Columns of blocking that ``pairs`` lacks are 0. ``with_kernels=False`` leaves out the five
-    measures that run in Python.
+    Columns of blocking that ``pairs`` lacks are 0.
     """
     both = with_records(pairs, s1, pool_of(normalized(s2), normalized(s3)))
     for c in BLOCKING:
         both = both.withColumn(c, F.col(c).cast("float") if c in pairs.columns else F.lit(0.0).cast("float"))
-    if with_kernels:
-        both = both.withColumn("_name", kernels(F.col("a.name_norm"), F.col("b.name_norm"))).withColumn("_addr", kernels(F.col("a.addr_norm"), F.col("b.addr_norm")))
-    else:
-        none = F.struct(*[F.lit(0.0).alias(k) for k in KERNELS])
-        both = both.withColumns({"_name": none, "_addr": none})
+    both = both.withColumn("_name", kernels(F.col("a.name_norm"), F.col("b.name_norm"))).withColumn("_addr", kernels(F.col("a.addr_norm"), F.col("b.addr_norm")))
     both = both.withColumns(
         text_features(F.col("a.name_norm"), F.col("b.name_norm"), "name", F.col("_name"))
         | text_features(F.col("a.addr_norm"), F.col("b.addr_norm"), "addr", F.col("_addr"))

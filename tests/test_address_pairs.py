@@ -47,3 +47,26 @@ def test_pairs_of_addresses_are_spread_over_tasks(spark):
     """A nation's addresses are few bytes, but their pairs are the work."""
     out = catalog.QUERIES["m2_m3_m4_token_ratios"][0](spark, "/root/testdata/sf0.01").select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
     assert len(out) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_ratios_of_long_texts_equal_one_by_one():
+    """Texts of one to five words of 63 bits, at their edges and beyond 256 characters."""
+    r = random.Random(5)
+    text = lambda n: "".join(r.choice("abcdefg é") for _ in range(n))
+    sizes = [0, 1, 62, 63, 64, 125, 126, 127, 189, 190, 252, 253, 256, 257, 300]
+    a, b = (list(x) for x in zip(*[(text(m), text(n)) for m in sizes for n in sizes], strict=True))
+    a, b = [*a, "x" * 126, "x" * 127, "x" * 250], [*b, "x" * 126, "x" * 200, "x" * 251]
+    assert sim.lcs_all(a, b).tolist() == [sim.lcs(x, y) for x, y in zip(a, b, strict=True)]
+    assert sim.partial_ratios_all(a[:120], b[:120]).tolist() == [sim.partial_ratio(x, y) for x, y in zip(a[:120], b[:120], strict=True)]
+
+
+def test_kernels_of_many_pairs_equal_one_by_one(spark):
+    r = random.Random(7)
+    some = ["".join(r.choice("abcdé") for _ in range(r.choice([1, 3, 6, 11]))) for _ in range(20)]
+    text = lambda: " ".join(r.choice(some) for _ in range(r.choice([0, 1, 2, 6, 12])))
+    pairs = [(text(), text()) for _ in range(400)]
+    rows = spark.createDataFrame([*pairs, (None, "a")], "a string, b string").select("a", "b", sim.kernels("a", "b").alias("k")).collect()
+    assert len(rows) == len(pairs) + 1
+    for x in rows:
+        for k, f in sim.KERNELS.items():
+            assert abs(x["k"][k] - f(x["a"] or "", x["b"] or "")) < 1e-9, (k, x)

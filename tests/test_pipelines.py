@@ -107,3 +107,29 @@ def test_first_row_of_equal_ids(spark):
     pool = rows("zulu", "mike").withColumn("src_priority", F.lit(1)).unionByName(rows("yankee", "bravo").withColumn("src_priority", F.lit(0)))
     [r] = ft.with_records(spark.createDataFrame([("x", "x")], "source1_entity_id string, candidate_entity_id string"), rows("zeta", "alpha"), pool).collect()
     assert (r["a"]["business_name"], r["b"]["business_name"]) == ("zeta", "yankee")
+
+
+def test_boosted_trees_learn_from_all_features(spark, monkeypatch):
+    """The measures that run in Python are there for both texts, and rounds are those of ``fit``."""
+    from linkloom.functions import similarity as sim
+    from linkloom.plans import catalog
+
+    seen, fit = {}, md.fit
+
+    def spy(df, **settings):
+        seen.update(settings, df=df, model=fit(df, **settings))
+        return seen["model"]
+
+    monkeypatch.setattr(md, "fit", spy)
+    assert catalog.QUERIES["l1_l3_boosted_trees"][0](spark, SF).count() > 0
+    records = fx.add_normalized(fx.records_a(spark, SF)).select("entity_id", "name_norm", "addr_norm").collect()
+    texts = {r["entity_id"]: r for r in records}
+    rows = seen["df"].collect()
+    assert len(rows) > 100
+    for r in rows:
+        a, b = texts[r["source1_entity_id"]], texts[r["candidate_entity_id"]]
+        for n in ("name", "addr"):
+            for k, f in sim.KERNELS.items():
+                assert r[f"{n}_{k}"] == pytest.approx(f(a[f"{n}_norm"], b[f"{n}_norm"]), abs=1e-4), (n, k)
+    gbt = seen["model"].stages[-1]
+    assert gbt.getMaxIter() == 40 and seen["model"].stages[0].getInputCols() == FEATURE_COLUMNS
